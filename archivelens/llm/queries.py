@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import token_counts, tokens
+from . import language, packing, quality, rans, token_counts, tokens
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -18,8 +19,29 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), tokens.tokenizer_path(BYTE_BPE))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = rans.round_trip(_table(spark, sf_dir, "documents"), tokens.tokenizer_path(WORD_BPE))
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(packing.pack(_table(spark, sf_dir, "documents"), tokens.tokenizer_path(BYTE_BPE)))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
 def catalogue() -> dict:
     """Name -> (query, oracle SQL or None)."""
     return {
         "op1_token_counts": (op1_token_counts, None),
+        "op4_token_files": (op4_token_files, None),
+        "op6_quality_rules": (op6_quality_rules, None),
+        "op7_packing": (op7_packing, None),
+        "op9_language": (op9_language, None),
     }
