@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are worked on in slices of about so many bytes, which bounds a worker's memory; a longer text is a slice by itself.
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 16 << 20
 
 #: The bytes of white space that separate words: 0x20 and 0x09 to 0x0D.
 SPACE = np.zeros(256, bool)
