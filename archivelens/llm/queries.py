@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, licenses, mixing, packing, quality, rans, token_counts, tokens, urls
+from . import fingerprints, language, licenses, mixing, neardup, packing, quality, rans, token_counts, tokens, urls
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -23,6 +24,10 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(_table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = rans.round_trip(_table(spark, sf_dir, "documents"), tokens.tokenizer_path(WORD_BPE))
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -59,6 +64,7 @@ def catalogue() -> dict:
     return {
         "op1_token_counts": (op1_token_counts, None),
         "op2_fingerprints": (op2_fingerprints, fingerprints.oracle()),
+        "op3_near_duplicates": (op3_near_duplicates, None),
         "op4_token_files": (op4_token_files, None),
         "op5_licenses": (op5_licenses, licenses.oracle()),
         "op6_quality_rules": (op6_quality_rules, None),
@@ -66,4 +72,5 @@ def catalogue() -> dict:
         "op8_url_lists": (op8_url_lists, urls.oracle()),
         "op9_language": (op9_language, None),
         "op10_mixing": (op10_mixing, mixing.oracle()),
+        "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     }
