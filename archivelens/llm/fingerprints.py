@@ -33,13 +33,20 @@ def paragraphs(text: Column) -> Column:
     return F.filter(F.split(text, ENDS), lambda p: p != "")
 
 
-def numbers(paragraph: Column) -> list[Column]:
-    """The 59 whole numbers of a paragraph that are summed; null counts for nothing."""
-    digest = F.sha2(paragraph.cast("binary"), 256)
-    h = [F.conv(F.substring(digest, 12 * j + 1, 12), 16, 10).cast("bigint") for j in range(DENSE)]
+def numbers(paragraphs: Column) -> Column:
+    """For each paragraph five numbers of 48 bits of its SHA-256; null gives nulls.
+
+    Made before paragraphs are exploded, so each is hashed once however many sums use it.
+    """
+    digests = F.transform(paragraphs, lambda p: F.sha2(p.cast("binary"), 256))
+    return F.transform(digests, lambda d: F.struct(*(F.conv(F.substring(d, 12 * j + 1, 12), 16, 10).cast("bigint").alias(f"h{j}") for j in range(DENSE))))
+
+
+def summands(h: list[Column]) -> list[Column]:
+    """The 59 whole numbers of a paragraph that are summed, from its five; null counts for nothing."""
     dense = [x for v in h for x in (v.bitwiseAND(F.lit((1 << 24) - 1)), F.shiftright(v, 24))]
     signs = [F.shiftright(h[j], i).bitwiseAND(F.lit(_LANES)) for j in range(SIGNS) for i in range(SHIFTS)]
-    return [*dense, *signs, F.when(paragraph.isNotNull(), F.lit(1)).cast("bigint")]
+    return [*dense, *signs, F.when(h[0].isNotNull(), F.lit(1)).cast("bigint")]
 
 
 N_SUMS = 2 * DENSE + SIGNS * SHIFTS + 1
@@ -127,13 +134,15 @@ def fingerprints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """
     rows = with_next(docs, ranges)
     changed = rows.withColumn("edited", F.coalesce(edited(F.col("text"), F.col("next_text")), F.lit("")))
-    unit = lambda of, which: F.transform(F.concat(F.array(F.lit(None).cast("string")), paragraphs(F.col(of))), lambda p: F.struct(F.lit(which).alias("which"), p.alias("p")))
+    unit = lambda of, which: F.transform(numbers(F.concat(F.array(F.lit(None).cast("string")), paragraphs(F.col(of)))), lambda h: F.struct(F.lit(which).alias("which"), h.alias("h")))
     own = ("part", "rn", "ghost", "doc_id", "n_chars", "edited_sha256")
-    units = changed.select(
+    # what is made of whole texts is made before paragraphs are exploded, so once for each document
+    whole = changed.select(
         "part", "rn", "ghost", "doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        F.explode(F.concat(unit("text", 0), unit("edited", 1))).alias("u"),
+        F.concat(unit("text", 0), unit("edited", 1)).alias("us"),
     )
-    hashed = units.select(*own, F.col("u.which").alias("which"), *(x.alias(f"x{i}") for i, x in enumerate(numbers(F.col("u.p")))))
+    units = whole.select(*own, F.explode("us").alias("u"))
+    hashed = units.select(*own, F.col("u.which").alias("which"), *(x.alias(f"x{i}") for i, x in enumerate(summands([F.col(f"u.h.h{j}") for j in range(DENSE)]))))
     sums = hashed.groupBy(*own, "which").agg(*(F.coalesce(F.sum(f"x{i}"), F.lit(0)).alias(f"s{i}") for i in range(N_SUMS)))
     vectors = sums.select(*own, "which", vector([F.col(f"s{i}") for i in range(N_SUMS)]).alias("v")).withColumn("g", signs(F.col("v")))
     order = Window.partitionBy("part").orderBy("rn", "which")
