@@ -12,9 +12,10 @@ than every register of its document, so long texts need little more than one poi
 
 Candidates.  Equal texts become one node first.  Nodes meet in buckets of equal bands.  A bucket's
 most popular node is its pivot, all others are verified against it, exactly; what then is in
-one component needs no more pairs.  Members of buckets that still hold several components are compared in
-further rounds: all pairs of small buckets, more pivots of large ones, until each pair of
-a bucket is in one component or was verified.  So no link of a bucket is lost, and no group's pairs are listed.
+one component needs no more pairs.  Small buckets that still hold several components have all pairs between them
+verified.  Large ones are joined to groups, cut into blocks of members, and every member outside a
+group's largest component is held against each block, by an index of its shingles; only links come out.
+So no link of a bucket is lost, and no group's pairs are listed.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ from .storage import keep
 SHINGLE, SIMILAR = 5, 0.8
 #: With 32 bands of 5 registers, a pair of similarity .8 shares none with a probability of 3e-6.
 BANDS, ROWS = 32, 5
-#: Buckets of so many nodes at most are settled by all their pairs, larger ones by pivots, so many a round.
-SMALL, PIVOTS = 32, 8
+#: Buckets of so many nodes at most are settled by all their pairs, larger ones in blocks of about so many nodes.
+SMALL, BLOCK = 32, 512
 
 _R = np.uint64(0x9E3779B97F4A7C15)
 
@@ -138,6 +139,51 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(near)], ["a", "b", "near"])
 
 
+class _Block:
+    """An index of the shingles of a block's members."""
+
+    def __init__(self, members: list[tuple[int, int, np.ndarray, np.ndarray]]):
+        self.n = np.array([m[0] for m in members], np.int64)
+        self.comp = np.array([m[1] for m in members], np.int64)
+        self.total = np.array([m[3].sum() for m in members], np.int64)
+        owner = np.repeat(np.arange(len(members)), [len(m[2]) for m in members])
+        hashes = np.concatenate([m[2] for m in members]) if members else np.zeros(0, np.uint64)
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.owner = hashes[order], owner[order]
+        self.weight = (np.concatenate([m[3] for m in members]) if members else np.zeros(0, np.int64))[order]
+
+    def links(self, comp: int, hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Members that a node is linked with, one of each component but its own."""
+        low, high = np.searchsorted(self.hashes, hashes, "left"), np.searchsorted(self.hashes, hashes, "right")
+        many = high - low
+        at = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        shared = np.bincount(self.owner[at], np.minimum(self.weight[at], np.repeat(weights, many)), len(self.n))
+        near = (shared > 0) & (self.comp != comp)
+        near &= shared / np.maximum(self.total + weights.sum() - shared, 1) >= SIMILAR
+        found = np.flatnonzero(near)
+        return self.n[found[np.unique(self.comp[found], return_index=True)[1]]]
+
+
+def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of grp, block and guest: a block's members, then the nodes held against it. Out come links."""
+    where, members, block = None, [], None
+    for b in batches:
+        a, z = [], []
+        rows = zip(b.column("grp").to_pylist(), b.column("block").to_pylist(), b.column("guest").to_pylist(), b.column("n").to_pylist(), b.column("comp").to_pylist(), _bags(b.column("text")), strict=True)
+        for grp, number, guest, n, comp, (hashes, weights) in rows:
+            if (grp, number) != where:
+                where, members, block = (grp, number), [], None
+            if not guest:
+                members.append((n, comp, hashes, weights))
+                continue
+            if block is None:
+                block = _Block(members)
+            found = block.links(comp, hashes, weights)
+            a += [n] * len(found)
+            z += found.tolist()
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], ["a", "b"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """The least node that each node of ``edges`` (columns a, b) is connected with: node, comp.
 
@@ -155,6 +201,20 @@ def components(edges: DataFrame) -> DataFrame:
         labels = moved.select("node", "comp")
 
 
+def _block_links(large: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links a, b between components within the groups that large buckets (key, n, comp) make; texts: n, text."""
+    least = large.groupBy("key").agg(F.min("n").alias("b"))
+    grouped = components(large.join(least, "key").select(F.col("n").alias("a"), "b").distinct()).toDF("g_node", "grp")
+    nodes = keep(large.select("n", "comp").distinct().join(grouped, F.col("n") == F.col("g_node")).select("grp", "n", "comp"), "groups")
+    sizes = nodes.groupBy("grp", "comp").agg(F.count("*").alias("c"))
+    main = sizes.groupBy("grp").agg(F.sum("c").alias("c"), F.max(F.struct("c", "comp"))["comp"].alias("main")).select("grp", "main", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks"))
+    held = nodes.join(main, "grp").join(texts, "n")
+    own = held.select("grp", F.pmod(F.xxhash64("n"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("guest"), "n", "comp", "text")
+    guests = held.filter("comp <> main").select("grp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("guest"), "n", "comp", "text")
+    dealt = own.union(guests).repartition("grp", "block").sortWithinPartitions("grp", "block", "guest", "n")
+    return dealt.mapInArrow(_blocked, "a bigint, b bigint")
+
+
 def _pairs(rows: DataFrame) -> DataFrame:
     return rows.filter("a <> b").distinct()
 
@@ -190,29 +250,19 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     pivot = F.max(F.struct("popular", (-F.col("n")).alias("m"))).alias("pivot")
     stars = met.join(met.groupBy("key").agg(pivot), "key").select(F.col("n").alias("a"), (-F.col("pivot.m")).alias("b"), "key")
-    done = verified(_pairs(stars.select("a", "b")))
-    used = keep(stars.select("key", F.col("b").alias("n")).distinct(), "pivots")
-    settled_small = False
-    while True:
-        comp = components(done.filter("near"))
-        labelled = met.join(comp.withColumnRenamed("node", "c_node"), F.col("n") == F.col("c_node"), "left").select("key", "n", "size", "popular", F.coalesce("comp", F.col("n")).alias("comp"))
-        apart = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
-        still = keep(labelled.join(apart, "key"), "apart")
-        large = still.filter(F.col("size") > SMALL)
-        fresh = keep(large.join(used, ["key", "n"], "left_anti").groupBy("key", F.pmod(F.xxhash64("n"), F.lit(PIVOTS))).agg(F.max(F.struct("popular", (-F.col("n")).alias("m"), "comp")).alias("p")).select("key", (-F.col("p.m")).alias("b"), F.col("p.comp").alias("comp_b")), "pivots")
-        more = large.join(fresh, "key").filter("comp <> comp_b").select(F.col("n").alias("a"), "b")
-        if not settled_small:
-            some = still.filter(F.col("size") <= SMALL)
-            other = some.select("key", F.col("n").alias("b"), F.col("comp").alias("comp_b"))
-            more = more.union(some.join(other, "key").filter("comp <> comp_b and n < b").select(F.col("n").alias("a"), "b"))
-            settled_small = True
-        tested = done.select("a", "b").union(done.select("b", "a"))
-        more = keep(_pairs(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).join(tested, ["a", "b"], "left_anti"), "pairs")
-        if more.isEmpty() and fresh.isEmpty():
-            break
-        if not more.isEmpty():
-            done = keep(done.union(verified(more)), "verified")
-        used = keep(used.union(fresh.select("key", F.col("b").alias("n"))), "pivots")
+    near = verified(_pairs(stars.select("a", "b"))).filter("near").select("a", "b")
+
+    comp = components(near)
+    labelled = met.join(comp.withColumnRenamed("node", "c_node"), F.col("n") == F.col("c_node"), "left").select("key", "n", "size", F.coalesce("comp", "n").alias("comp"))
+    apart = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
+    still = keep(labelled.join(apart, "key"), "apart")
+    few = still.filter(F.col("size") <= SMALL)
+    other = few.select("key", F.col("n").alias("b"), F.col("comp").alias("comp_b"))
+    more = _pairs(few.join(other, "key").filter("comp <> comp_b and n < b").select(F.col("n").alias("a"), "b"))
+    tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+    more = verified(more.join(tested, ["a", "b"], "left_anti")).filter("near").select("a", "b")
+    near = near.union(more).union(_block_links(still.filter(F.col("size") > SMALL), texts))
+    comp = components(keep(near, "near"))
 
     grouped = nodes.join(comp, nodes["n"] == comp["node"], "left").select(nodes["node"], nodes["first"], F.coalesce("comp", "n").alias("comp"))
     least = grouped.groupBy("comp").agg(F.min("first").alias("class_id"))
