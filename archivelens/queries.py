@@ -1,7 +1,690 @@
-"""The catalogue of queries: name -> (Spark callable, oracle SQL or None)."""
+"""The catalogue of queries: name -> (Spark callable, oracle SQL or None).
+
+Every query runs over its whole table.  Oracles are DuckDB's SQL over the same fixtures; where SQL can't
+express an operator there is none, and tests hold it against a brute-force version.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import frontmatter as FM
+from .functions import text as X
+from .operators import audit, canonical, classify, cleaner, evaluate, fidelity, manifest, pii, prioritize, repack, rewrite, rules, scan, validate, website
+from .plans import queries_sql as Q
+from .sources import fixtures as fx
+
+FUNDERS = list(fx.FUNDERS)
+_S = Q.strip
+_C = classify.CONFIG
+
+
+def _md(run):
+    """A query over the Markdown documents."""
+    return lambda spark, sf_dir: run(fx.md_documents(spark, sf_dir))
+
+
+def _articles(run):
+    return lambda spark, sf_dir: run(audit.articles(fx.md_documents(spark, sf_dir).select("article", "content")))
+
+
+# --- cleaning -------------------------------------------------------------------------------------------------------
+
+
+def _pass(change):
+    return _md(lambda d: d.select("doc_id", change(F.col("content")).alias("content")))
+
+
+def _cleaned(sql: str) -> str:
+    return Q.md_cte(f"SELECT doc_id, {sql} AS content FROM md")
+
+
+def _ws_sql(x: str) -> str:
+    x = f"replace(replace({x}, chr(160), ' '), chr(9), ' ')"
+    for c in (8203, 8204, 8205, 65279):
+        x = f"replace({x}, chr({c}), '')"
+    x = f"regexp_replace({x}, ' {{2,}}', ' ', 'g')"
+    x = f"replace(replace({x}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+    return f"regexp_replace({x}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
+
+
+def _lone_sql(x: str, pattern: str, both: bool) -> str:
+    """``x``: the name of a column."""
+    ls = Q.lines(x)
+    up, down = f"(i = 1 OR {_S(f'{ls}[i - 1]')} = '')", f"(i = len({ls}) OR {_S(f'{ls}[i + 1]')} = '')"
+    return Q.join(Q.keep(ls, f"NOT (regexp_full_match({_S('x')}, '{pattern}') AND ({up} {'AND' if both else 'OR'} {down}))"))
+
+
+def _bold_sql() -> str:
+    ls, s = Q.lines(), _S("x")
+    title = _S(f"regexp_extract({s}, '^\\*\\*([^*]+)\\*\\*$', 1)")
+    up, down = f"(i = 1 OR {_S(f'{ls}[i - 1]')} = '')", f"(i = len({ls}) OR {_S(f'{ls}[i + 1]')} = '')"
+    return Q.join(f"list_transform({ls}, lambda x, i: CASE WHEN regexp_full_match({s}, '\\*\\*[^*]+\\*\\*') AND {up} AND {down} AND length({title}) < 100 THEN '### ' || {title} ELSE x END)")
+
+
+def _questions_sql() -> str:
+    s = _S("x")
+    at, answer = f"instr({s}, '?')", _S(f"substr({s}, instr({s}, '?') + 1)")
+    head = f"rtrim({_S(f'substr({s}, 1, {at})')}, '?')"
+    return Q.join(f"flatten(list_transform({Q.lines()}, lambda x: CASE WHEN NOT starts_with({s}, '#') AND {at} > 1 AND {at} - 1 < length({s}) * 0.6 AND length({answer}) > 20 THEN ['### ' || {head}, '', {answer}] ELSE [x] END))")
+
+
+def _notes_sql() -> str:
+    s, p = _S("x"), r"^(#{1,6}\s+)(.+?)\s*\((.+?)\)\s*$"
+    part = lambda k: f"regexp_extract({s}, '{p}', {k})"
+    return Q.join(f"flatten(list_transform({Q.lines()}, lambda x: CASE WHEN regexp_matches({s}, '{p}') THEN [{part(1)} || {_S(part(2))}, '', '*' || {_S(part(3))} || '*'] ELSE [x] END))")
+
+
+def _heading_sql() -> str:
+    s = _S("x")
+    goes = " OR ".join(f"regexp_matches({s}, {Q.quote('(?i)' + p)})" for p in cleaner.FORM_HEADINGS)
+    return Q.join(Q.keep(Q.lines(), f"NOT (starts_with({s}, '#') AND ({goes}))"))
+
+
+def _cleaning() -> dict:
+    ascii_only = lambda c: F.regexp_replace(c, r"[^\x00-\x7F]", "~")  # noqa: E731  accented letters are no word characters to the oracle
+    widgets = Q.md_cte(r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(content, '(?m)^\[[ xX]\]\s*', '', 'g'), '(?m)^[☐☑]\s*', '', 'g'), '(?im)^Total\s+Files?\s*:\s*\d+\s*$', '', 'g') AS content FROM md")
+    words = "regexp_replace(content, '[^\\x00-\\x7F]', '~', 'g')"
+    for _ in range(5):
+        words = f"regexp_replace({words}, '\\b([a-zA-Z]{{1,3}}) ([a-zA-Z]{{1,3}})\\b', '\\1\\2', 'g')"
+    return {
+        "clean_images": (_pass(lambda c: cleaner.image_marks(cleaner.embedded_images(c))), _cleaned(r"regexp_replace(regexp_replace(regexp_replace(content, '!\[Image\]\(data:image/\w+;base64,[A-Za-z0-9+/=]+\)', '[IMAGE]', 'g'), '(?i)<!--\s*image\s*-->', '', 'g'), '(?m)^\[IMAGE\]\s*$', '', 'g')")),
+        "clean_whitespace": (_pass(cleaner.white_space), _cleaned(_ws_sql("content"))),
+        "clean_split_words": (_pass(lambda c: cleaner.split_words(ascii_only(c))), _cleaned(words)),
+        "clean_chrome_headings": (_pass(cleaner.without_headings(cleaner.FORM_HEADINGS)), _cleaned(_heading_sql())),
+        "clean_lone_letters": (_pass(cleaner.lone_letters), _cleaned(_lone_sql("content", "[a-zA-Z]", True))),
+        "clean_lone_digits": (_pass(cleaner.lone_digits), _cleaned(_lone_sql("content", "\\p{Nd}{1,4}", False))),
+        "clean_bold_headings": (_pass(cleaner.bold_headings), _cleaned(_bold_sql())),
+        "clean_writing_tips": (_pass(cleaner.writing_tips), _cleaned(r"regexp_replace(content, '(?im)^(Writing\s+tip\s*:?\s*)(.*)$', '*\1\2*', 'g')")),
+        "clean_qa_split": (_pass(cleaner.questions), _cleaned(_questions_sql())),
+        "clean_paren_notes": (_pass(cleaner.heading_notes), _cleaned(_notes_sql())),
+        "clean_widgets": (_pass(cleaner.form_widgets), widgets),
+        "clean_entities": (_pass(cleaner.numeric_entities), _cleaned("replace(replace(content, '&#8211;', chr(8211)), '&#x41;', 'A')")),
+        "clean_caps_headings": (_pass(cleaner.capital_headings), _cleaned("replace(content, '## FINANCIAL SUMMARY OF THE YEAR', '## Financial Summary of the Year')")),
+        "clean_form_fields": (_pass(cleaner.form_fields), None),
+        "clean_full": (_md(lambda d: cleaner.clean(d.select("doc_id", "content"))), None),
+    }
+
+
+# --- classification and rules ---------------------------------------------------------------------------------------
+
+_METRICS = Q.metrics("t", _C["form_chrome"], _C["draft_markers"])
+
+
+def _lightly(d: DataFrame) -> DataFrame:
+    for change in (cleaner.white_space, cleaner.lone_letters, cleaner.lone_digits):
+        d = d.withColumn("content", change(F.col("content")))
+    return d
+
+
+def _funder_sql(path: str) -> str:
+    return "CASE " + " ".join(f"WHEN contains(lower({path}), '{k.lower()}') THEN '{k}'" for k in sorted(FUNDERS, key=len, reverse=True)) + " END"
+
+
+def _types_sql(path: str) -> str:
+    cases = ", ".join(f"CASE WHEN regexp_matches(replace({path}, '_', ' '), {Q.quote(ps[0])}) THEN '{k}' END" for k, ps in _C["doc_types"].items())
+    return f"list_filter([{cases}], lambda x: x IS NOT NULL)"
+
+
+def _classified_sql(end: str, source: str = "md") -> str:
+    """Rows of ``source`` classified, as ``k``."""
+    body = f"""m0 AS (SELECT *, CASE WHEN starts_with(content, '---') AND instr(substr(content, 4), '---') > 0 THEN {_S("substr(content, instr(substr(content, 4), '---') + 6)")} ELSE content END AS b FROM {source}),
+m1 AS (SELECT *, CASE WHEN b <> '' THEN b ELSE content END AS t FROM m0),
+m2 AS (SELECT doc_id, filename, filepath, content, {Q.select(_METRICS)}, {_funder_sql("filepath")} AS funder, {_types_sql("filepath")} AS types FROM m1),
+m3 AS (SELECT *, (draft_marker_count > 0 AND NOT has_tables) AS s1, content_lines < 8 AS s2 FROM m2),
+k AS (SELECT *, CASE WHEN s1 OR s2 THEN 'skip' WHEN (list_contains(types, 'application') OR list_contains(types, 'report')) AND (content_lines >= 20 OR has_tables) THEN 'full'
+  WHEN form_chrome_count > 0 OR duplicate_heading_count > 0 THEN 'light' WHEN (contains(filepath, 'Budget') OR contains(filepath, 'Board')) AND corruption_score < 0.1 THEN 'light' ELSE 'minimal' END AS tier,
+  CASE WHEN s1 OR s2 THEN 'skipped_draft' ELSE 'ok' END AS status FROM m3)"""
+    return body + "\n" + end
+
+
+def _summary_sql() -> str:
+    ws = f"w AS (SELECT doc_id, filename, filepath, {_ws_sql('content')} AS c FROM md), w2 AS (SELECT * REPLACE ({_lone_sql('c', '[a-zA-Z]', True)} AS c) FROM w), w3 AS (SELECT * EXCLUDE c, {_lone_sql('c', chr(92) + 'p{Nd}{1,4}', False)} AS content FROM w2)"
+    end = "SELECT dimension, value, count(*) AS files FROM (SELECT 'tier' AS dimension, tier AS value FROM k UNION ALL SELECT 'status', status FROM k UNION ALL SELECT 'funder', coalesce(funder, 'unknown') FROM k) GROUP BY ALL"
+    return Q.md_cte("").rstrip() + ",\n" + ws + ",\n" + _classified_sql(end, "w3")
+
+
+def _language_sql() -> str:
+    w = "list_distinct(list_filter(string_split_regex(lower(text), '[ \\t\\n\\r\\x0b\\x0c]+'), lambda x: x <> ''))"
+    n = lambda words: f"len(list_filter({w}, lambda x: list_contains({Q.array(words)}, x)))"
+    return f"""WITH n AS (SELECT doc_id, {n(classify.FRENCH)} AS fr, {n(classify.ENGLISH)} AS en FROM documents)
+SELECT doc_id, CASE WHEN fr::DOUBLE / greatest(en, 1) > 2 THEN 'fr' WHEN fr::DOUBLE / greatest(en, 1) > 0.5 THEN 'mixed' ELSE 'en' END AS language FROM n"""
+
+
+_NESTED = {"match": "any", "conditions": [{"type": "filename_starts_with", "value": "OAC"}, {"match": "all", "conditions": [{"type": "has_tables"}, {"type": "not_", "condition": {"type": "has_any_type", "values": ["budget", "report"]}}]}]}
+_LEGACY = "not has_type('budget') and (corruption_score > 0.02 or word_count_annotation_count >= 1) or filename.startswith('TAC') and content_lines < 30"
+
+
+def _classified(d: DataFrame) -> DataFrame:
+    return classify.classified(d, _C, FUNDERS)
+
+
+def _classifying() -> dict:
+    md = Q.md_cte("").rstrip() + ",\n"
+    cols = ["doc_id", *classify.METRICS]
+    reason = "CASE WHEN s1 THEN draft_marker_count || ' draft markers' WHEN s2 THEN 'Too short: ' || content_lines || ' lines' END"
+    return {
+        "classify_summary": (_md(lambda d: classify.summary(_classified(_lightly(d)))), _summary_sql()),
+        "content_metrics": (_md(lambda d: classify.with_metrics(d).select(*cols)), md + _classified_sql(f"SELECT {', '.join(cols)} FROM k")),
+        "language_detect": (lambda spark, sf_dir: fx.table(spark, sf_dir, "documents").select("doc_id", classify.language(F.col("text")).alias("language")), _language_sql()),
+        "rule_tier_first_match": (_md(lambda d: _classified(d).select("doc_id", "tier", "status")), md + _classified_sql("SELECT doc_id, tier, status FROM k")),
+        "rule_skip": (_md(lambda d: _classified(d).filter("tier = 'skip'").select("doc_id", "reason")), md + _classified_sql(f"SELECT doc_id, {reason} AS reason FROM k WHERE s1 OR s2")),
+        "rule_nested_any_all": (_md(lambda d: _classified(d).select("doc_id", rules.rule(_NESTED).alias("holds"))), md + _classified_sql("SELECT doc_id, starts_with(filename, 'OAC') OR (has_tables AND NOT (list_contains(types, 'budget') OR list_contains(types, 'report'))) AS holds FROM k")),
+        "rule_legacy_expr": (_md(lambda d: _classified(d).select("doc_id", rules.rule({"conditions": [rules.parse(_LEGACY)]}).alias("holds"))), md + _classified_sql("SELECT doc_id, (NOT list_contains(types, 'budget') AND (corruption_score > 0.02 OR word_count_annotation_count >= 1)) OR (starts_with(filename, 'TAC') AND content_lines < 30) AS holds FROM k")),
+        "conversation_rollup": (
+            lambda spark, sf_dir: fx.table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count("*").alias("turns"), F.sum(F.size(X.lines(F.col("text")))).alias("lines"), F.sum(F.length("text")).alias("chars"), F.count_if(F.col("role") == "user").alias("user_turns")),
+            "SELECT conv_id, count(*) AS turns, sum(len(string_split(coalesce(text, ''), chr(10))))::BIGINT AS lines, sum(length(text))::BIGINT AS chars, count(*) FILTER (role = 'user') AS user_turns FROM conversations GROUP BY conv_id",
+        ),
+    }
+
+
+# --- scan, repack, website ------------------------------------------------------------------------------------------
+
+
+def _scan(run):
+    return _md(lambda d: run(scan.scanned(d, FUNDERS)))
+
+
+def _scan_sql(end: str) -> str:
+    no_look = lambda p: p.replace("(?<![a-zA-Z])", "(?:^|[^a-zA-Z])").replace("(?![a-zA-Z])", "(?:[^a-zA-Z]|$)")
+    types = ", ".join(f"CASE WHEN regexp_matches(filepath, {Q.quote(no_look(ps[0]))}) THEN '{k}' END" for k, ps in scan.TYPE_PATTERNS.items())
+    return Q.md_cte("").rstrip() + f""",
+s AS (SELECT filename, '.md' AS extension, {_funder_sql("filepath")} AS funder, TRY_CAST(nullif(regexp_extract(filepath, '\\b(20\\d{{2}})\\b', 1), '') AS INT) AS year,
+  list_filter([{types}], lambda x: x IS NOT NULL) AS types, regexp_matches(lower(filepath), 'draft|prep|todo|working') AS draft FROM md)
+{end}"""
+
+
+def _names_sql() -> str:
+    return "CASE funder " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fx.FUNDERS.items()) + " END"
+
+
+def _cost_sql() -> str:
+    each = {k: f"total * ({i} * (0.14::DOUBLE / 1000000) + {o} * (0.28::DOUBLE / 1000000))" for k, (i, o) in scan.TOKENS.items()}
+    return _scan_sql(f"SELECT count(*) AS total, 0.0::DOUBLE AS conversion_usd, {', '.join(f'round_even({v}, 2) AS {k}_usd' for k, v in each.items())}, round_even({' + '.join(each.values())}, 2) AS total_usd, floor(total / 60)::BIGINT AS minutes FROM (SELECT count(*) AS total FROM s) GROUP BY total").replace("SELECT count(*) AS total, 0.0", "SELECT total, 0.0")
+
+
+def _repack_sql() -> str:
+    low = "replace(replace(lower(filepath), '/', ' '), '_', ' ')"
+    kind = "CASE " + " ".join(f"WHEN {' OR '.join(f'contains({low}, {Q.quote(w)})' for w in ws)} THEN '{k}'" for k, ws in repack.KEYWORDS.items()) + " END"
+    return Q.md_cte("").rstrip() + f""",
+r AS (SELECT filepath, filename, {_funder_sql("filepath")} AS funder, TRY_CAST(nullif(regexp_extract(filepath, '\\b(20\\d{{2}})\\b', 1), '') AS INT) AS year, {kind} AS doc_type FROM md),
+d AS (SELECT *, replace(regexp_replace(replace(replace(regexp_replace(filename, '\\.[^.]*$', ''), '_', ' '), '-', ' '), '(?i)' || funder || '\\b', '', 'g'), coalesce(year::VARCHAR, '0000'), '') AS t FROM r),
+e AS (SELECT *, CASE WHEN doc_type IS NULL THEN t ELSE regexp_replace(t, '(?i)\\b' || replace(doc_type, '_', ' ') || '\\b', '', 'g') END AS u FROM d),
+w AS (SELECT *, array_to_string(list_transform(list_filter(string_split_regex(regexp_replace(u, '[^\\w\\s]', '', 'g'), '\\s+'), lambda x: x <> ''), lambda x: upper(x[1]) || lower(x[2:])), ' ') AS description FROM e),
+n AS (SELECT *, coalesce(funder, 'UNKNOWN') || '__' || coalesce(year::VARCHAR, '0000') || CASE WHEN description <> '' THEN '_' || replace(description, ' ', '_') ELSE '' END || '__' || coalesce(doc_type, 'unknown') AS stem FROM w),
+k AS (SELECT *, row_number() OVER (PARTITION BY stem ORDER BY filepath) - 1 AS again, CASE WHEN funder IS NULL THEN 0 ELSE 35 END + CASE WHEN year IS NULL THEN 0 ELSE 35 END + CASE WHEN doc_type IS NULL THEN 0 ELSE 30 END AS c FROM n)
+SELECT filepath AS old_path, stem || '.md' AS suggested_filename, stem || CASE WHEN again = 0 THEN '' ELSE '_' || again END || '.md' AS target, funder, year::VARCHAR AS year, doc_type, description, c::DOUBLE / 100 AS confidence, c < 65 AS needs_review FROM k"""
+
+
+_HEADER_SQL = r"<!--\s*source:\s*(\S+)\s*\|\s*scraped:\s*([^\s|]+)\s*\|\s*hash:\s*(\S+)\s*-->"
+_SLUG_SQL = """CASE WHEN s = '' THEN 'webpage' ELSE s END"""
+
+
+def _slug_sql(source: str, columns: str) -> str:
+    return f"""p AS (SELECT *, rtrim(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/') AS path, replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '.', '_') AS host FROM {source}),
+l AS (SELECT *, CASE WHEN path = '' THEN CASE WHEN host = '' THEN 'webpage' ELSE host END ELSE string_split(path, '/')[-1] END AS last FROM p),
+s AS (SELECT *, trim(regexp_replace(regexp_replace(last, '\\.[^.]*$', ''), '[^a-zA-Z0-9]+', '_', 'g'), '_') AS s FROM l)
+SELECT {columns} FROM s"""
+
+
+def _website() -> dict:
+    stage = f"WITH c AS ({fx.SCRAPED_SQL}), x AS (SELECT page_id, content, string_split(content, chr(10))[1] AS first FROM c), h AS (SELECT page_id, nullif(regexp_extract(first, '{_HEADER_SQL}', 1), '') AS url, nullif(regexp_extract(first, '{_HEADER_SQL}', 2), '') AS scraped_at, nullif(regexp_extract(first, '{_HEADER_SQL}', 3), '') AS content_hash FROM x),\n"
+    return {
+        "url_slug": (lambda spark, sf_dir: fx.table(spark, sf_dir, "pages").select("page_id", website.slug(F.col("url")).alias("slug")), "WITH " + _slug_sql("pages", f"page_id, {_SLUG_SQL} AS slug")),
+        "website_stage": (
+            lambda spark, sf_dir: website.staged(fx.scraped_pages(spark, sf_dir), "IA").select("page_id", "status", "error", "source_url", "scraped_at", "content_hash", "url_slug", "filename", F.col("written").cast("string").alias("written")),
+            stage + _slug_sql("h", f"page_id, CASE WHEN url IS NULL THEN 'error' ELSE 'staged' END AS status, CASE WHEN url IS NULL THEN 'No scraper comment found' END AS error, url AS source_url, scraped_at, content_hash, CASE WHEN url IS NOT NULL THEN {_SLUG_SQL} END AS url_slug, CASE WHEN url IS NOT NULL THEN 'IA__' || substr(scraped_at, 1, 10) || '__' || {_SLUG_SQL} || '__webpage.md' END AS filename, substr(scraped_at, 1, 4) AS written"),
+        ),
+    }
+
+
+def _scanning() -> dict:
+    return {
+        "scan_by_extension": (_scan(scan.by_extension), _scan_sql("SELECT extension, count(*) AS files FROM s GROUP BY 1")),
+        "scan_by_funder": (_scan(lambda r: scan.by_funder(r, fx.FUNDERS).select("funder", "full_name", "files", F.array_join("years", ",").alias("years"))), _scan_sql(f"SELECT funder, {_names_sql()} AS full_name, count(*) AS files, coalesce(array_to_string(list_sort(list(DISTINCT year) FILTER (year IS NOT NULL)), ','), '') AS years FROM s WHERE funder IS NOT NULL GROUP BY ALL")),
+        "scan_by_year": (_scan(scan.by_year), _scan_sql("SELECT year, count(*) AS files FROM s WHERE year IS NOT NULL GROUP BY 1")),
+        "scan_by_type": (_scan(scan.by_type), _scan_sql("SELECT type, count(*) AS files FROM (SELECT unnest(CASE WHEN len(types) > 0 THEN types ELSE ['unrecognized'] END) AS type FROM s) GROUP BY 1")),
+        "scan_drafts": (_scan(scan.drafts), _scan_sql("SELECT filename FROM s WHERE draft")),
+        "scan_costs": (_scan(scan.costs), _cost_sql()),
+        "repack_plan": (_md(lambda d: repack.plan(d, FUNDERS).withColumn("year", F.col("year").cast("string"))), _repack_sql()),
+        **_website(),
+    }
+
+
+# --- frontmatter and validation -------------------------------------------------------------------------------------
+
+_SHOWN = ["funder", "type", "written", "period", "period_start", "priority", "confidence"]
+
+
+def _alias_sql() -> str:
+    x = "block"
+    for a, c in FM.FIELD_NAMES.items():
+        x = f"regexp_replace({x}, '(?m)^{a}:', '{c}:', 'g')"
+    return x
+
+
+def _period_sql() -> str:
+    ys = f"list_transform(regexp_extract_all({Q.field('period')}, '\\b(20\\d{{2}})\\b', 1), lambda y: y::INT)"
+    return f"CASE WHEN len({ys}) > 0 THEN CASE WHEN list_min({ys}) = list_max({ys}) THEN list_min({ys})::VARCHAR ELSE list_min({ys}) || '–' || list_max({ys}) END ELSE {Q.field('period')} END"
+
+
+def _frontmatter() -> dict:
+    fm = lambda run: _md(lambda d: run(d.withColumn("block", FM.block(F.col("content")))))
+    return {
+        "frontmatter_fields": (_md(lambda d: d.select("doc_id", FM.read(FM.block(F.col("content"))).alias("f")).select("doc_id", "f.present", *(f"f.{c}" for c in _SHOWN))), Q.with_front(f"SELECT doc_id, block IS NOT NULL AS present, {', '.join(f'{Q.field(c)} AS {c}' for c in _SHOWN)} FROM fm")),
+        "frontmatter_year": (fm(lambda d: d.select("doc_id", FM.year_of(*(FM.field(F.col("block"), f) for f in ("written", "period", "period_start"))).cast("string").alias("year"))), Q.with_front(f"SELECT doc_id, coalesce({', '.join(f'nullif({Q.year(Q.field(f))}, 0)' for f in ('written', 'period', 'period_start'))})::VARCHAR AS year FROM fm")),
+        "frontmatter_alias_fold": (fm(lambda d: d.select("doc_id", FM.fold_names(F.col("block")).alias("block"))), Q.with_front(f"SELECT doc_id, {_alias_sql()} AS block FROM fm")),
+        "period_normalise": (fm(lambda d: d.select("doc_id", FM.field(FM.fold_values(F.col("block")), "period").alias("period"))), Q.with_front(f"SELECT doc_id, {_period_sql()} AS period FROM fm")),
+        "frontmatter_apply": (_md(lambda d: d.select("doc_id", FM.apply(FM.body(F.col("content")), FM.written({"funder": FM.quoted(F.col("funder_code")), "written": F.col("year_code")})).alias("content"))), None),
+    }
+
+
+_SECTIONS = {k: ["Body", "Key Figures", "Definition"] for k in FUNDERS}
+_TYPES = fx.KINDS
+
+
+def _issues(d: DataFrame) -> DataFrame:
+    return validate.issues(d, FUNDERS, _TYPES)
+
+
+def _issues_sql() -> str:
+    m = Q.metrics("t", _C["form_chrome"], _C["draft_markers"])
+    rows = [
+        ("missing_frontmatter", "block IS NULL"),
+        *(("missing_field", f"block IS NOT NULL AND {Q.field(f)} IS NULL") for f in validate.REQUIRED),
+        ("invalid_funder", f"{Q.field('funder')} NOT IN ({', '.join(map(Q.quote, FUNDERS))})"),
+        ("invalid_doc_type", f"{Q.field('type')} NOT IN ({', '.join(map(Q.quote, _TYPES))})"),
+        ("invalid_priority", f"coalesce(TRY_CAST({Q.field('priority')} AS INT) NOT BETWEEN 1 AND 3, {Q.field('priority')} IS NOT NULL)"),
+        ("corruption", f"{m['corruption_score']} > 0.3"),
+        ("form_chrome", f"{m['form_chrome_count']} > 20"),
+        ("draft_marker", f"{m['draft_marker_count']} > 0"),
+        ("short_lines", f"{m['avg_content_line_length']} < 30 AND {m['content_lines']} > 0"),
+        ("size_anomaly", "strlen(content) < 500 OR strlen(content) > 1000000"),
+        ("placeholder", r"regexp_matches(content, '\[TODO\]|\[FIXME\]|\[UNKNOWN\]|\[TBD\]|\?\?\?|\{placeholder\}')"),
+    ]
+    union = "\nUNION ALL ".join(f"SELECT filename, '{k}' AS issue_type FROM v WHERE {t}" for k, t in rows)
+    return f"v AS (SELECT *, CASE WHEN body <> '' THEN body ELSE content END AS t FROM fm), i AS ({union})"
+
+
+def _thin_sql() -> str:
+    # sections by line: a second-level heading, and the lines below up to the next line with a number sign
+    return Q.md_cte("").rstrip() + f""",
+l AS (SELECT doc_id, unnest(string_split(content, chr(10))) AS x, generate_subscripts(string_split(content, chr(10)), 1) AS i FROM md),
+h AS (SELECT *, sum(CASE WHEN starts_with(x, '#') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS s FROM l),
+g AS (SELECT doc_id, s, min_by(x, i) AS head, string_agg(CASE WHEN starts_with(x, '#') THEN '' ELSE x END, chr(10) ORDER BY i) AS body FROM h GROUP BY doc_id, s)
+SELECT doc_id, {_S("regexp_extract(head, '^##\\s+(.+)', 1)")} AS section, length(replace({_S("body")}, ' ', '')) AS chars FROM g WHERE regexp_matches(head, '^##\\s+.') AND length(replace({_S("body")}, ' ', '')) < 50"""
+
+
+def _validating() -> dict:
+    return {
+        "validate_issues": (_md(lambda d: _issues(d).groupBy("filename", "issue_type").agg(F.count("*").alias("issues"))), Q.with_front("SELECT filename, issue_type, count(*) AS issues FROM i GROUP BY ALL", _issues_sql())),
+        "validate_rollup": (_md(lambda d: validate.rollup(_issues(d), d)), Q.with_front("SELECT issue_type, count(*) AS issues, count(DISTINCT filename) AS files FROM i GROUP BY 1 UNION ALL SELECT '(failed)', 0, count(DISTINCT filename) FROM i UNION ALL SELECT '(passed)', 0, (SELECT count(DISTINCT filename) FROM md) - (SELECT count(DISTINCT filename) FROM i)", _issues_sql())),
+        "validate_headings": (_md(lambda d: d.select("doc_id", F.array_join(validate.missing_sections(F.col("content"), ["Body", "Key Figures", "Definition", "Costs (in dollars)"]), ",").alias("missing"))), Q.md_cte(r"SELECT doc_id, coalesce(array_to_string(list_filter(['Body', 'Key Figures', 'Definition', 'Costs (in dollars)'], lambda s: NOT list_contains(list_transform(regexp_extract_all(content, '(?m)^##\s+(.+)', 1), lambda x: lower(trim(x))), lower(s))), ','), '') AS missing FROM md")),
+        "validate_thin_sections": (_md(lambda d: d.select("doc_id", F.explode(validate.thin_sections(F.col("content"))).alias("s")).select("doc_id", "s.section", "s.chars")), _thin_sql()),
+        "validate_placeholders": (_md(lambda d: d.select("doc_id", F.array_join(validate.placeholders(F.col("content")), ",").alias("markers")).filter("markers <> ''")), Q.md_cte(r"SELECT doc_id, array_to_string(list_filter([CASE WHEN contains(content, '[TODO]') THEN 'TODO' END, CASE WHEN contains(content, '[FIXME]') THEN 'FIXME' END, CASE WHEN contains(content, '[UNKNOWN]') THEN 'UNKNOWN' END, CASE WHEN contains(content, '[TBD]') THEN 'TBD' END, CASE WHEN contains(content, '???') THEN '??? (' || len(list_filter(string_split(content, chr(10)), lambda x: contains(x, '???'))) || ' lines)' END], lambda x: x IS NOT NULL), ',') AS markers FROM md WHERE regexp_matches(content, '\[TODO\]|\[FIXME\]|\[UNKNOWN\]|\[TBD\]|\?\?\?')")),
+        "validate_size": (_md(lambda d: d.select("doc_id", F.octet_length("content").cast("bigint").alias("bytes")).filter((F.col("bytes") < validate.MIN_BYTES) | (F.col("bytes") > validate.MAX_BYTES))), Q.md_cte("SELECT doc_id, strlen(content)::BIGINT AS bytes FROM md WHERE strlen(content) < 500 OR strlen(content) > 1000000")),
+    }
+
+
+# --- personal data --------------------------------------------------------------------------------------------------
+
+
+def _pii(kind: str, raw: bool = False):
+    """Documents with findings of a kind."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        d = fx.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content")) if raw else fx.md_documents(spark, sf_dir).select("doc_id", "content")
+        return pii.findings(d, "doc_id", "content", fx.DENYLIST, [kind]).select("doc_id").distinct()
+
+    return run
+
+
+def _pii_sql(pattern: str, raw: bool = False) -> str:
+    guarded = pattern.replace("(?<!\\d)", "(?:^|[^0-9])").replace("(?!\\d)", "(?:[^0-9]|$)")
+    test = lambda c: f"len(list_filter(string_split({c}, chr(10)), lambda x: regexp_matches(x, {Q.quote(guarded)}))) > 0"
+    return f"SELECT doc_id FROM documents WHERE {test('text')}" if raw else Q.md_cte(f"SELECT doc_id FROM md WHERE {test('content')}")
+
+
+def _gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = fx.md_documents(spark, sf_dir).select("doc_id", "content")
+    found = pii.findings(d, "doc_id", "content", fx.DENYLIST)
+    return pii.report(d, found, "doc_id").select("doc_id", "clean", "passed")
+
+
+def _private() -> dict:
+    p = dict(reversed([x for x in pii.PATTERNS if x[0] != "postal_code"]))
+    names = r"(?i)\bJane Doe\b|\bJohn Q\. Public\b"
+    every = " OR ".join(f"len(list_filter(string_split(content, chr(10)), lambda x: regexp_matches(x, {Q.quote(x.replace('(?<!' + chr(92) + 'd)', '(?:^|[^0-9])').replace('(?!' + chr(92) + 'd)', '(?:[^0-9]|$)'))}))) > 0" for _, x in pii.PATTERNS)
+    return {
+        "pii_email": (_pii("email", raw=True), _pii_sql(p["email"], raw=True)),
+        "pii_phone": (_pii("phone", raw=True), _pii_sql(p["phone"], raw=True)),
+        "pii_sin": (_pii("sin", raw=True), _pii_sql(p["sin"], raw=True)),
+        "pii_ssn": (_pii("ssn"), _pii_sql(p["ssn"])),
+        "pii_postal": (_pii("postal_code"), _pii_sql(r"\b[A-Za-z]\d[A-Za-z][ \-]?\d[A-Za-z]\d\b|(?:^|[^0-9])\d{5}-\d{4}(?:[^0-9]|$)")),
+        "pii_currency": (_pii("currency"), _pii_sql(p["currency"])),
+        "pii_denylist": (_pii("denylisted_name"), _pii_sql(names)),
+        "pii_gate": (_gate, Q.md_cte(f"SELECT doc_id, NOT (regexp_matches(content, '{names}') OR {every}) AS clean, NOT regexp_matches(content, '{names}') AS passed FROM md")),
+        "pii_report": (lambda spark, sf_dir: pii.findings(fx.md_documents(spark, sf_dir), "doc_id", "content", fx.DENYLIST), None),
+    }
+
+
+# --- versions and duplicates ----------------------------------------------------------------------------------------
+
+
+def _parsed(run):
+    return _md(lambda d: run(canonical.parsed(d.select("doc_id", "filename", "content"))))
+
+
+_SEG = "list_filter(string_split(regexp_replace(filename, '\\.[^.]*$', ''), '__'), lambda s: trim(s, '_') <> '')"
+
+
+def _names_of_sql(name: str) -> str:
+    return f"list_distinct(list_transform(list_filter(string_split({name}, '_'), lambda t: length(t) > 2), lambda t: trim(lower(t), '_-')))"
+
+
+def _score_sql() -> str:
+    s = "regexp_replace(filename, '\\.[^.]*$', '')"
+    parts = [f"CASE WHEN ends_with({s}, '{e}') THEN {n} ELSE 0 END" for e, n in canonical.SCORES.items()]
+    parts += [f"CASE WHEN regexp_matches({s}, '{p}') THEN regexp_extract({s}, '{p}', 1)::INT * {n} ELSE 0 END" for p, n in canonical.NUMBERED.items()]
+    return " + ".join(parts)
+
+
+def _clusters_sql(end: str) -> str:
+    return f"""WITH RECURSIVE t AS (SELECT doc_id, sha256(coalesce(text, '')) AS h FROM documents),
+e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.h = b.h AND a.doc_id <> b.doc_id),
+r AS (SELECT a AS node, a AS seen FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen),
+c AS (SELECT node, min(seen) AS cluster FROM r GROUP BY node)
+{end}"""
+
+
+def _exact_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of equal texts, by components of the links to the first of each."""
+    from .operators.graphs import components
+
+    d = fx.table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    links = canonical.exact_duplicates(d, "doc_id", "text").filter("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
+    return components(links)
+
+
+def _best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = canonical.parsed(fx.md_documents(spark, sf_dir).select("doc_id", "filename", "content"))
+    rows = d.select("doc_id", "filename", F.col("app_key").alias("cluster"), "version_score", "date_str", F.length("content").alias("length"))
+    return canonical.pick_best(rows).filter("best").select("cluster", "doc_id")
+
+
+def _versions() -> dict:
+    md = lambda cols: Q.md_cte(f"SELECT doc_id, {cols} FROM md")
+    subs = "coalesce(" + ", ".join(f"TRY_CAST(nullif(regexp_extract(s, '{p}', 1), '') AS INT)" for p in canonical.SUBMISSIONS) + ")"
+    rest = f"{_SEG}[3:]"
+    own = "list_filter(" + rest + ", lambda s: NOT regexp_matches(s, '" + "|".join(canonical.SUBMISSIONS) + "'))"
+    draft = " OR ".join(f"ends_with(regexp_replace(filename, '\\.[^.]*$', ''), '{e}')" for e, n in canonical.SCORES.items() if n < 0) + " OR " + " OR ".join(f"contains(lower(left(content, 500)), '{w}')" for w in canonical.DRAFT_WORDS) + f" OR regexp_matches(filename, '{canonical.DRAFT_NAMES}')"
+    ta, tb = _names_of_sql("regexp_replace(a.filename, '\\.[^.]*$', '')"), _names_of_sql("regexp_replace(b.filename, '\\.[^.]*$', '')")
+    pairs = Q.md_cte("").rstrip() + f""",
+n AS (SELECT filename, {_names_of_sql("regexp_replace(filename, '" + chr(92) + ".[^.]*$', '')")} AS t FROM md),
+p AS (SELECT a.filename AS a, b.filename AS b, len(list_intersect(a.t, b.t)) AS i, len(a.t) + len(b.t) AS s FROM n a JOIN n b ON a.filename < b.filename)
+SELECT a, b, i::DOUBLE / (s - i) AS name_similarity FROM p WHERE i::DOUBLE / (s - i) >= 0.8"""
+    del ta, tb
+    best = Q.md_cte(f"SELECT cluster, doc_id FROM (SELECT doc_id, array_to_string({_SEG}[1:2], '__') AS cluster, row_number() OVER (PARTITION BY array_to_string({_SEG}[1:2], '__') ORDER BY {_score_sql()} DESC, length(content) DESC, filename) AS k FROM md) WHERE k = 1")
+    return {
+        "filename_segments": (_parsed(lambda d: d.select("doc_id", F.array_join("segments", "|").alias("segments"))), md(f"array_to_string({_SEG}, '|') AS segments")),
+        "filename_score": (_parsed(lambda d: d.select("doc_id", "version_score")), md(f"{_score_sql()} AS version_score")),
+        "submission_number": (_parsed(lambda d: d.select("doc_id", F.col("submission_number").cast("string").alias("submission_number"))), md(f"list_max(list_transform({rest}, lambda s: {subs}))::VARCHAR AS submission_number")),
+        "doc_identity": (_parsed(lambda d: d.select("doc_id", "doc_identity", canonical.without_version(F.col("doc_identity")).alias("bare"))), None),
+        "doc_identity_segments": (_parsed(lambda d: d.select("doc_id", "doc_identity")), md(f"CASE WHEN len({own}) > 0 THEN array_to_string({own}, '__') ELSE {_SEG}[-1] END AS doc_identity")),
+        "app_groups": (_md(lambda d: d.groupBy(canonical.group_key(F.col("filename")).alias("app_key")).agg(F.count("*").alias("files"))), Q.md_cte("SELECT array_to_string(string_split(regexp_replace(filename, '\\.[^.]*$', ''), '__')[1:2], '__') AS app_key, count(*) AS files FROM md GROUP BY 1")),
+        "draft_flags": (_md(lambda d: d.select("doc_id", canonical.is_draft(F.col("filename"), F.col("content")).alias("draft"), canonical.is_webpage(F.col("filename"), F.col("content")).alias("webpage"))), md(f"{draft} AS draft, ends_with(filename, '__webpage.md') AS webpage")),
+        "name_jaccard_pairs": (_md(lambda d: canonical.name_pairs(d, 0.8)), pairs),
+        "dup_exact": (lambda spark, sf_dir: canonical.exact_duplicates(fx.table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "doc_id", "text"), "SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first, count(*) OVER (PARTITION BY text) AS copies FROM documents QUALIFY count(*) OVER (PARTITION BY text) > 1"),
+        "dup_clusters": (_exact_clusters, _clusters_sql("SELECT node, cluster FROM c")),
+        "pick_best": (_best, best),
+        "dup_content_ratio": (_md(canonical.duplicate_pairs), None),
+        "canonicalize": (_md(canonical.canonicalize), None),
+    }
+
+
+# --- audit ----------------------------------------------------------------------------------------------------------
+
+_ART = Q.md_cte("").rstrip() + f""",
+a0 AS (SELECT article, content, string_split(content, chr(10)) AS lines, starts_with(content, '---' || chr(10)) AS opened FROM md),
+a1 AS (SELECT *, CASE WHEN opened THEN 1 + list_position(list_transform(lines[2:], lambda x: {_S("x")}), '---') ELSE 0 END AS start FROM a0),
+a2 AS (SELECT *, list_filter(lines[start + 1:], lambda x: {_S("x")} <> '') AS body_list FROM a1),
+a AS (SELECT *, array_to_string(body_list, chr(10)) AS body, len(body_list) AS body_lines, CASE WHEN opened THEN array_to_string(lines[2:start - 1], chr(10)) END AS block FROM a2)
+"""
+
+
+def _phrase_sql(phrases: list[str]) -> str:
+    case = "CASE " + " ".join(f"WHEN contains(lower(body), {Q.quote(p)}) THEN {Q.quote(p)}" for p in phrases) + " END"
+    return f"(SELECT *, {case} AS phrase FROM a)"
+
+
+def _line_sql(needle: str) -> str:
+    return f"list_filter(list_transform(lines, lambda x, i: CASE WHEN contains(lower(x), lower({needle})) THEN i END), lambda x: x IS NOT NULL)[1]"
+
+
+def _rollup_sql(parts: dict[str, str]) -> str:
+    return ", ".join(f"q_{k} AS ({v})" for k, v in parts.items())
+
+
+def _auditing() -> dict:
+    slug = lambda c: f"trim(regexp_replace(regexp_replace(replace(lower({c}), ' ', '-'), '[()/,._''&]', '-', 'g'), '-+', '-', 'g'), '-')"
+    dead = f"""SELECT * FROM (SELECT article, {slug("d")} AS target, min_by(d, i) AS target_display, min_by(list_filter(list_transform(lines, lambda x, j: CASE WHEN contains(x, d) THEN j END), lambda x: x IS NOT NULL)[1], i) AS line
+FROM (SELECT article, lines, unnest(regexp_extract_all(content, '\\[\\[([^\\]|]+)(?:\\|[^\\]]+)?\\]\\]', 1)) AS d, generate_subscripts(regexp_extract_all(content, '\\[\\[([^\\]|]+)(?:\\|[^\\]]+)?\\]\\]', 1), 1) AS i FROM a) GROUP BY 1, 2)
+WHERE target <> article AND target NOT IN (SELECT article FROM a) AND target NOT IN (SELECT replace(lower(regexp_extract(block, '(?m)^aliases: \\[(.*)\\]', 1)), ' ', '-') FROM a WHERE block IS NOT NULL)"""
+    wanted = Q.array(sorted({*audit.CONFIG["sections"], *audit.CONFIG["required"]}))
+    heads = f"list_transform(list_filter(lines[start + 1:], lambda x: regexp_matches(x, '^## .')), lambda x: {_S('substr(x, 4)')})"
+    missing = f"list_filter({wanted}, lambda s: NOT list_contains({heads}, s))"
+    suspicious = "CASE " + " ".join(f"WHEN regexp_matches(article, '{p}') THEN '{k}'" for p, k in audit.CONFIG["suspicious"]) + " END"
+    last = _S("body_list[-1]")
+    signal = f"CASE WHEN opened AND start IS NULL THEN 'missing_closing_frontmatter' WHEN starts_with({_S('lines[-1]')}, '|') THEN 'truncated_table' WHEN right({last}, 1) NOT IN ('.', '!', '?', '\"', ')', ']', ':') THEN 'incomplete_final_line' END"
+    weak = f"""SELECT article, section, line FROM (SELECT article, section, line, lines[line + 1:coalesce(next - 1, len(lines))] AS rows FROM (SELECT article, lines, {_S("substr(x, 4)")} AS section, i AS line, lead(i) OVER (PARTITION BY article ORDER BY i) AS next
+FROM (SELECT article, lines, start, unnest(lines) AS x, generate_subscripts(lines, 1) AS i FROM a) WHERE i > start AND regexp_matches(x, '^## .')))
+WHERE lower(section) = 'key figures' AND len(list_filter(rows, lambda x: {_S("x")} <> '' AND NOT contains(lower(x), 'no specific') AND NOT contains(lower(x), 'no data'))) = 0"""
+    # a token in front of a closing bracket gives up its last character, as a backtracking matcher does
+    raw = "list_transform(regexp_extract_all(body, '(?:^|[^\\[])\\[[a-z0-9][a-z0-9.\\-]+\\]?'), lambda m: substr(m, instr(m, '[')))"
+    tokens = f"list_filter(list_transform({raw}, lambda t: CASE WHEN ends_with(t, ']') THEN left(t, length(t) - 2) ELSE t END), lambda t: length(t) >= 3)"
+    noise = f"SELECT article, token, list_filter(list_transform(lines, lambda x, i: CASE WHEN contains(x, token) THEN i END), lambda x: x IS NOT NULL)[1] AS line FROM (SELECT article, lines, {tokens}[1] AS token FROM a) WHERE token IS NOT NULL"
+    parts = {
+        "thin_articles": "SELECT article, length(body) AS chars, body_lines AS lines FROM a WHERE length(body) < 200 OR body_lines < 5",
+        "missing_sections": f"SELECT article, {missing} AS missing FROM a WHERE len({missing}) > 0",
+        "suspicious_concepts": f"SELECT article, {suspicious} AS subtype FROM a WHERE {suspicious} IS NOT NULL",
+        "sourceless": f"SELECT article, 0 AS source_count FROM a WHERE {Q.field('sources')} = '[]'",
+        "low_confidence": f"SELECT article, {Q.field('confidence')} AS confidence FROM a WHERE lower({Q.field('confidence')}) = 'low'",
+        "placeholder_phrasing": f"SELECT article, phrase, {_line_sql('phrase')} AS line FROM {_phrase_sql(audit.CONFIG['placeholder'])} WHERE phrase IS NOT NULL",
+        "speculative_phrasing": f"SELECT article, phrase, {_line_sql('phrase')} AS line FROM {_phrase_sql(audit.CONFIG['speculative'])} WHERE phrase IS NOT NULL",
+        "truncation_suspects": f"SELECT article, phrase, {_line_sql('phrase')} AS line, {signal} AS reason FROM {_phrase_sql(audit.CONFIG['truncation'])} WHERE phrase IS NOT NULL AND {signal} IS NOT NULL",
+        "weak_sections": weak,
+        "link_noise": noise,
+        "dead_links": dead,
+    }
+    key = "regexp_replace(lower(article), '[^a-z0-9]', '', 'g')"
+    stale = {"stale": [{"keywords": ["doc-1"], "hint": "may have changed"}, {"keywords": ["doc"], "require_link": "missing-x"}]}
+    now = "(?i)" + "|".join(audit.CONFIG["present_tense"])
+    old = " OR ".join(f"contains(lower(body), '{w}')" for w in audit.CONFIG["timeline"])
+    stale_sql = _ART + f"SELECT article, CASE WHEN contains(lower(article), 'doc-1') THEN 'may have changed' ELSE 'Uses present tense — may describe a former state' END AS reason FROM a WHERE regexp_matches(body, {Q.quote(now)}) AND NOT ({old}) AND (contains(lower(article), 'doc-1') OR contains(lower(article), 'doc') AND contains(body, '[[missing-x]]'))"
+    out = {f"audit_{k}": (_articles(lambda a, k=k: _check(a, k)), _ART + (v if k != "missing_sections" else v.replace(f"{missing} AS missing", f"array_to_string({missing}, ',') AS missing"))) for k, v in parts.items()}
+    roll = list(parts)
+    return out | {
+        "audit_stale_content": (_articles(lambda a: audit.stale_content(a, audit.CONFIG | stale).select("article", "reason")), stale_sql),
+        "audit_rollup": (_articles(lambda a: audit.rollup({k: _check(a, k) for k in roll})), _ART + ", " + _rollup_sql(parts) + " " + " UNION ALL ".join(f"SELECT '{k}' AS check, count(*) AS findings FROM q_{k}" for k in roll)),
+        "audit_collision_keys": (_articles(audit.same_key_pairs), _ART + f"SELECT x.article AS a, y.article AS b FROM (SELECT article, {key} AS k FROM a) x JOIN (SELECT article, {key} AS k FROM a) y ON x.k = y.k AND x.article < y.article"),
+        "audit_near_dup_candidates": (
+            lambda spark, sf_dir: audit.near_candidates(fx.table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("article"), F.coalesce("text", F.lit("")).alias("body"))).select(F.least("first", "second").alias("a"), F.greatest("first", "second").alias("b")),
+            r"""WITH b AS (SELECT 'd' || lpad(doc_id::VARCHAR, 12, '0') AS article, length(text) AS n, list_distinct(list_transform(regexp_extract_all(text, '[\p{L}\p{N}_]{4,}'), lambda x: lower(x))) AS bag FROM documents),
+p AS (SELECT a.article AS a, b.article AS b, a.n AS n1, b.n AS n2, a.bag AS x, b.bag AS y FROM b a JOIN b b ON a.article < b.article AND len(a.bag) > 0 AND len(b.bag) > 0 AND abs(len(a.bag) // 30 - len(b.bag) // 30) <= 1 AND least(a.n, b.n) >= 0.5 * greatest(a.n, b.n))
+SELECT a, b FROM p WHERE len(list_intersect(x, y)) >= 0.35 * least(len(x), len(y))""",
+        ),
+        "audit_near_duplicates": (_articles(audit.near_duplicates), None),
+        "audit_name_collisions": (_articles(audit.name_collisions), None),
+        "audit_fix": (_articles(lambda a: audit.fixed(a).select("article", "content", F.array_join("actions", ",").alias("actions"))), None),
+    }
+
+
+def _check(a: DataFrame, name: str) -> DataFrame:
+    found = {"thin_articles": audit.thin_articles, "missing_sections": audit.missing_sections, "suspicious_concepts": audit.suspicious_concepts, "sourceless": audit.sourceless, "low_confidence": audit.low_confidence, "placeholder_phrasing": lambda x: audit.phrasing(x, audit.CONFIG["placeholder"]), "speculative_phrasing": lambda x: audit.phrasing(x, audit.CONFIG["speculative"]), "truncation_suspects": audit.truncation_suspects, "weak_sections": audit.weak_sections, "link_noise": audit.link_noise, "dead_links": audit.dead_links}[name](a)
+    return found.withColumn("missing", F.array_join("missing", ",")) if name == "missing_sections" else found
+
+
+# --- fidelity of converters -----------------------------------------------------------------------------------------
+
+_CONVERTERS = ["docx_only", "echo", "lossy"]
+
+
+def _bench(run):
+    return lambda spark, sf_dir: run(fx.bench_pairs(spark, sf_dir))
+
+
+def _cell_score(d: DataFrame) -> DataFrame:
+    """Scores that SQL can express: tables and links, of scored pairs."""
+    ok = F.col("status") == "scored"
+    d = d.withColumns({"_g": fidelity.body(F.col("golden")), "_c": fidelity.body(F.col("candidate"))})
+    return d.withColumns({"tables": F.when(ok, fidelity.table_score(F.col("_g"), F.col("_c"))), "links_images": F.when(ok, fidelity.link_score(F.col("_g"), F.col("_c")))})
+
+
+def _bench_sql(end: str) -> str:
+    norm = lambda x: f"lower({_S(f'regexp_replace({x}, {chr(39)}\\s+{chr(39)}, {chr(39)} {chr(39)}, {chr(39)}g{chr(39)})')})"
+    body = lambda t: f"CASE WHEN starts_with({t}, '---' || chr(10)) THEN ltrim(array_to_string(string_split({t}, chr(10))[2 + list_position(string_split({t}, chr(10))[2:], '---'):], chr(10)), chr(10)) ELSE {t} END"
+    cells = lambda x: f"list_transform(string_split({x}, '|'), lambda c: {_S('c')})"
+    trimmed = f"list_transform(list_filter(string_split(t, chr(10)), lambda x: contains(x, '|')), lambda x: {cells('x')})"
+    first = "list_transform(r0, lambda r: CASE WHEN r[1] = '' THEN r[2:] ELSE r END)"
+    last = "list_transform(r1, lambda r: CASE WHEN len(r) > 0 AND r[-1] = '' THEN r[1:len(r) - 1] ELSE r END)"
+    kept = "list_filter(r2, lambda r: len(r) > 0 AND len(list_filter(r, lambda c: NOT regexp_full_match(c, ':?-+:?'))) > 0)"
+    return f"""WITH b AS ({fx.BENCH_SQL}),
+t AS (SELECT slug, kind, converter, status, side, {body("x")} AS t FROM (SELECT slug, kind, converter, status, 'g' AS side, golden AS x FROM b UNION ALL SELECT slug, kind, converter, status, 'c', candidate FROM b)),
+u0 AS (SELECT *, {trimmed} AS r0 FROM t), u1 AS (SELECT *, {first} AS r1 FROM u0), u2 AS (SELECT *, {last} AS r2 FROM u1), u AS (SELECT *, {kept} AS rows FROM u2),
+w AS (SELECT slug, kind, converter, status, side, len(rows) AS n_rows, list_transform(list_filter(flatten(rows), lambda c: c <> ''), lambda c: {norm("c")}) AS cells,
+  list_transform(list_concat(regexp_extract_all(t, '!\\[[^\\]]*\\]\\([^)]*\\)'), list_transform(regexp_extract_all(' ' || t, '[^!](\\[[^\\]]*\\]\\([^)]*\\))', 1), lambda x: x)), lambda x: {norm("x")}) AS refs FROM u),
+c AS (SELECT slug, converter, side, k, v, count(*) AS n FROM (SELECT slug, converter, side, 'cell' AS k, unnest(cells) AS v FROM w UNION ALL SELECT slug, converter, side, 'ref', unnest(refs) FROM w) GROUP BY ALL),
+i AS (SELECT a.slug, a.converter, a.k, sum(least(a.n, b.n)) AS n FROM c a JOIN c b ON a.slug = b.slug AND a.converter = b.converter AND a.k = b.k AND a.v = b.v AND a.side = 'g' AND b.side = 'c' GROUP BY ALL),
+s AS (SELECT g.slug, g.kind, g.converter, g.status, CASE WHEN g.status <> 'scored' THEN NULL WHEN g.n_rows = 0 THEN 1.0::DOUBLE / (1.0 + c.n_rows)
+    ELSE 0.7::DOUBLE * (2.0 * coalesce(ic.n, 0) / nullif(len(g.cells) + len(c.cells), 0))::DOUBLE + 0.3::DOUBLE * (least(g.n_rows, c.n_rows)::DOUBLE / greatest(g.n_rows, c.n_rows)) END AS tables,
+  CASE WHEN g.status <> 'scored' THEN NULL WHEN len(g.refs) = 0 THEN 1.0::DOUBLE ELSE coalesce(ir.n, 0)::DOUBLE / len(g.refs) END AS links_images
+  FROM w g JOIN w c ON g.slug = c.slug AND g.converter = c.converter AND g.side = 'g' AND c.side = 'c' LEFT JOIN i ic ON ic.slug = g.slug AND ic.converter = g.converter AND ic.k = 'cell' LEFT JOIN i ir ON ir.slug = g.slug AND ir.converter = g.converter AND ir.k = 'ref')
+{end}"""
+
+
+def _fidelity() -> dict:
+    mean = "coalesce(avg(links_images) FILTER (status = 'scored'), 0.0)"
+    pivot = ", ".join(f"round(avg(links_images) FILTER (converter = '{c}'), 6) AS {c}" for c in _CONVERTERS)
+    r6 = lambda c: F.round(c, 6)
+    roll = lambda d: fidelity.rollup(_cell_score(d), "links_images").withColumns({c: r6(c) for c in ("mean", "coverage", "overall")})
+    return {
+        "bench_table_score": (_bench(lambda d: _cell_score(d).select("slug", "converter", r6("tables").alias("tables"))), _bench_sql("SELECT slug, converter, round(tables, 6) AS tables FROM s")),
+        "bench_links_recall": (_bench(lambda d: _cell_score(d).select("slug", "converter", r6("links_images").alias("links_images"))), _bench_sql("SELECT slug, converter, round(links_images, 6) AS links_images FROM s")),
+        "bench_rollup": (_bench(roll), _bench_sql(f"SELECT converter, count(*) FILTER (status = 'scored') AS n_scored, count(*) FILTER (status = 'failed') AS n_failed, count(*) FILTER (status = 'unsupported') AS n_unsupported, round({mean}, 6) AS mean, round(count(*) FILTER (status = 'scored')::DOUBLE / count(*), 6) AS coverage, round({mean} * (count(*) FILTER (status = 'scored')::DOUBLE / count(*)), 6) AS overall, {mean} * (count(*) FILTER (status = 'scored')::DOUBLE / count(*)) >= 0.7 AS passed FROM s GROUP BY converter")),
+        "bench_kind_pivot": (_bench(lambda d: fidelity.by_kind(_cell_score(d), _CONVERTERS, "links_images").select("kind", *(r6(c).alias(c) for c in _CONVERTERS))), _bench_sql(f"SELECT kind, {pivot} FROM s WHERE status = 'scored' GROUP BY kind")),
+        "bench_best": (_bench(lambda d: fidelity.best(roll(d))), None),
+        "bench_pages": (_md(lambda d: d.select("doc_id", fidelity.pages(F.col("content")).alias("pages"))), Q.md_cte("SELECT doc_id, greatest(1, ceil(len(list_filter(string_split_regex(content, '[ \\t\\n\\r\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{a0}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{3000}]+'), lambda x: x <> ''))::DOUBLE / 500))::INT AS pages FROM md")),
+        "bench_slug_parts": (_bench(lambda d: d.select("slug", fidelity.slug_parts(F.col("slug")).alias("p")).distinct().select("slug", "p.funder", "p.kind", "p.number")), f"WITH b AS ({fx.BENCH_SQL}) SELECT DISTINCT slug, string_split(slug, '-')[1] AS funder, kind, regexp_extract(slug, '([0-9]+)$', 1)::INT AS number FROM b"),
+        "bench_text_score": (_bench(lambda d: d.select("slug", "converter", F.when(F.col("status") == "scored", fidelity.text_score(fidelity.body(F.col("golden")), fidelity.body(F.col("candidate")))).alias("text"))), None),
+        "bench_structure_score": (_bench(lambda d: d.select("slug", "converter", F.when(F.col("status") == "scored", fidelity.structure_score(fidelity.body(F.col("golden")), fidelity.body(F.col("candidate")))).alias("structure"))), None),
+        "bench_scores": (_bench(lambda d: fidelity.scored(d).select("slug", "converter", "text", "tables", "structure", "links_images", "weighted")), None),
+    }
+
+
+# --- priorities, rewrites, manifests --------------------------------------------------------------------------------
+
+
+def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _classified(fx.md_documents(spark, sf_dir))
+    return d.select("filename", "status", "tier", "funder", (F.col("doc_id") % 5 * 0.01).alias("conversion_cost_usd"), F.when(F.col("tier") == "full", 0.02).alias("rewrite_cost_usd"))
+
+
+def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sources.providers import RankingModel, answers
+
+    b = prioritize.batches(prioritize.year_groups(fx.md_documents(spark, sf_dir)), 60)
+    return prioritize.read_answers(answers(prioritize.prompts(b), RankingModel))
+
+
+def _rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sources.providers import EchoModel, answers
+
+    d = _classified(fx.md_documents(spark, sf_dir)).filter("tier <> 'skip'")
+    meta = rewrite.metadata_block(F.col("funder"), F.get("doc_types", 0), F.lit(None).cast("int"))
+    asked = d.select("filename", "status", rewrite.prompt(F.col("tier"), F.col("content"), meta).alias("prompt"))
+    got = answers(asked, EchoModel).withColumn("cost_usd", F.col("input_tokens") / 1e6 * rewrite.PRICE_IN + F.col("output_tokens") / 1e6 * rewrite.PRICE_OUT)
+    return rewrite.summary(got)
+
+
+def _upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = fx.md_documents(spark, sf_dir).select("filename", F.lit("pending").alias("status"), F.lit("minimal").alias("tier"))
+    new = fx.md_documents(spark, sf_dir).filter("kind = 'report'").select(F.concat("filename", F.when(F.col("funder_code") == "OAC", ".new").otherwise("")).alias("filename"), F.lit("ok").alias("status"), F.lit(0.5).alias("cost_usd"))
+    return manifest.upsert(old, new)
+
+
+def _digest_sql() -> str:
+    n = prioritize.DIGEST_CHARS
+    cut = f"left(content, {n})"
+    last = lambda m: f"CASE WHEN contains({cut}, {m}) THEN length({cut}) - instr(reverse({cut}), reverse({m})) - length({m}) + 1 END"
+    marks = ["chr(10) || '---' || chr(10)", "chr(10) || '## '", "chr(10) || '# '"]
+    ends = ", ".join(f"CASE WHEN {last('(' + m + ')')} > {n * 0.5} THEN {last('(' + m + ')')} END" for m in marks)
+    return Q.md_cte(f"SELECT doc_id, CASE WHEN length(content) <= {n} THEN content ELSE left(content, coalesce({ends}, {n})::INT) || chr(10) || chr(10) || '[... content truncated ...]' || chr(10) END AS digest FROM md")
+
+
+def _planning() -> dict:
+    y = f"coalesce({', '.join(f'nullif({Q.year(Q.field(f))}, 0)' for f in ('written', 'period', 'period_start'))}, 0)"
+    key = f"{y} || '_' || {Q.field('funder')}"
+    batch = f"""SELECT doc_id, CASE WHEN n <= 20 THEN k ELSE k || '_batch' || (floor((rn - 1) / ceil(n::DOUBLE / ceil(n::DOUBLE / 20))) + 1)::INT END AS batch
+FROM (SELECT doc_id, k, count(*) OVER (PARTITION BY k) AS n, row_number() OVER (PARTITION BY k ORDER BY filename) AS rn FROM (SELECT doc_id, filename, {key} AS k FROM fm WHERE block IS NOT NULL))"""
+    seconds = "CASE tier WHEN 'full' THEN 55 WHEN 'light' THEN 50 WHEN 'minimal' THEN 20 ELSE 30 END"
+    ratio = "CASE tier WHEN 'full' THEN 0.6 ELSE 0.8 END"
+    dry = f"""SELECT coalesce(tier, 'TOTAL') AS tier, count(*) AS files, round(sum(size_kb), 1) AS kb, round(sum(size_kb * 1024 / 3.5 / 1e6 * 0.14), 4) AS in_usd, round(sum(size_kb * 1024 / 3.5 * {ratio}::DOUBLE / 1e6 * 0.28), 4) AS out_usd,
+round(sum({seconds}::DOUBLE / 60), 2) AS serial_minutes, round(sum({seconds}::DOUBLE / 60) / 10, 3) AS parallel_minutes FROM (SELECT tier, (strlen(content)::DOUBLE / 1024) AS size_kb FROM k) GROUP BY ROLLUP (tier)"""
+    md = Q.md_cte("").rstrip() + ",\n"
+    c = "(doc_id % 5 * 0.01)::DOUBLE + CASE WHEN tier = 'full' THEN 0.02 ELSE 0 END"
+    msum = f"SELECT dimension, value, count(*) AS files, round(sum(c), 4) AS cost_usd FROM (SELECT 'total' AS dimension, 'all' AS value, {c} AS c FROM k UNION ALL SELECT 'status', status, {c} FROM k UNION ALL SELECT 'tier', tier, {c} FROM k UNION ALL SELECT 'funder', coalesce(funder, '?'), {c} FROM k) GROUP BY ALL"
+    answers = Q.with_front(f"SELECT filename, 1 AS expected FROM fm WHERE block IS NOT NULL AND {y} >= 0").replace("1 AS expected", "1 AS answered")
+    crit = evaluate.Criteria(must_contain=["attendance"], should_contain=["grant"], min_years_found=2, min_facts=1, word_count_range=(100, 5000))
+    return {
+        "priority_groups": (_md(lambda d: prioritize.year_groups(d, by_funder=True).groupBy("group_key").agg(F.count("*").alias("files"))), Q.with_front(f"SELECT {key} AS group_key, count(*) AS files FROM fm WHERE block IS NOT NULL GROUP BY 1")),
+        "priority_batches": (_md(lambda d: prioritize.batches(prioritize.year_groups(d, by_funder=True), 20).select("doc_id", "batch")), Q.with_front(batch)),
+        "priority_validate": (lambda spark, sf_dir: _answers(spark, sf_dir).filter("error is null").select("filename", F.when(F.col("priority").between(1, 3), 1).otherwise(0).alias("answered")), answers),
+        "priority_totals": (lambda spark, sf_dir: prioritize.totals(_answers(spark, sf_dir)), None),
+        "digest": (_md(lambda d: d.select("doc_id", prioritize.digest(F.col("content")).alias("digest"))), _digest_sql()),
+        "rewrite_dryrun_rollup": (_md(lambda d: rewrite.dry_run(_classified(d).withColumn("size_kb", F.octet_length("content") / 1024))), md + _classified_sql(dry)),
+        "rewrite_stub_summary": (_rewritten, None),
+        "manifest_upsert": (_upserted, Q.md_cte("SELECT m.filename, CASE WHEN kind = 'report' AND funder_code <> 'OAC' THEN 'ok' ELSE 'pending' END AS status, 'minimal' AS tier, CASE WHEN kind = 'report' AND funder_code <> 'OAC' THEN 0.5::DOUBLE END AS cost_usd FROM md m UNION ALL SELECT filename || '.new', 'ok', NULL, 0.5::DOUBLE FROM md WHERE kind = 'report' AND funder_code = 'OAC'")),
+        "manifest_summary": (lambda spark, sf_dir: manifest.summary(_manifest(spark, sf_dir)), md + _classified_sql(msum)),
+        "scenario_evaluate": (_md(lambda d: evaluate.evaluated(d.select("doc_id", "content"), "content", crit).select("doc_id", "years_found", "facts_found", "passed")), Q.md_cte("").rstrip() + r""",
+e AS (SELECT doc_id, len(list_distinct(regexp_extract_all(content, '\b(20[0-2]\d|209\d)\b', 1))) AS years_found, len(list_filter(string_split(trim(content, ' ' || chr(10) || chr(9) || chr(13)), chr(10)), lambda x: regexp_matches(x, '\b\d{4}\b') OR regexp_matches(x, '\$\d[\d,]*'))) AS facts_found,
+len(list_filter(string_split_regex(content, '[ \t\n\r\x0b\x0c]+'), lambda x: x <> '')) AS n, contains(lower(content), 'attendance') AS has FROM md)
+SELECT doc_id, years_found, facts_found, has AND years_found >= 2 AND facts_found >= 1 AND n BETWEEN 100 AND 5000 AS passed FROM e"""),
+    }
+
+
+def _converted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages as documents: the html converter in a cascade behind the one for plain text."""
+    from .sources.providers import HtmlConverter, TextConverter, convert
+
+    pages = fx.table(spark, sf_dir, "pages")
+    name = F.concat(F.lit("page"), F.col("page_id").cast("string"), F.lit(".html"))
+    return convert(pages.select(name.alias("filename"), F.col("url").alias("filepath"), F.col("html").cast("binary").alias("content")), [TextConverter(), HtmlConverter()])
+
+
+def _piped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .plans.pipeline import Pipeline
+
+    return Pipeline(funders=FUNDERS).run(fx.md_documents(spark, sf_dir).select("filename", "filepath", "content"))["report"]
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .streaming.ingest import events_by_window
+
+    return events_by_window(spark, f"{sf_dir}/events.parquet")
+
+
+_EVENTS_SQL = "SELECT strftime(time_bucket(INTERVAL '1 day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS events, round(sum(value), 4) AS value FROM events GROUP BY 1, 2"
+
+
+def _plans() -> dict:
+    return {
+        "convert_pages": (_converted, None),
+        "archive_pipeline": (_piped, None),
+        "stream_ingest_equals_batch": (_streamed, _EVENTS_SQL),
+    }
+
 
 def catalogue() -> dict:
-    return {}
+    """Name -> (query, oracle SQL or None)."""
+    return _classifying() | _cleaning() | _scanning() | _frontmatter() | _validating() | _private() | _versions() | _auditing() | _fidelity() | _planning() | _plans()
