@@ -33,6 +33,8 @@ DRAFT_NAMES = r"(?i)_(?:draft|prep|working|todo)(?:_|\.)"
 DRAFT_WORDS = ["draft", "work in progress", "not final", "pending review"]
 MATCH_AT, DUPLICATE_AT, NAMES_AT = 0.45, 0.70, 0.25
 MIN_LENGTH, COMPARED = 800, 2000
+#: Texts whose runs of three words are less alike aren't compared character by character.
+SHARED_RUNS = 0.15
 
 
 def stem(filename: Column) -> Column:
@@ -166,7 +168,7 @@ def duplicate_pairs(files: DataFrame, least: float = DUPLICATE_AT, names: float
 
     Comparing all pairs isn't feasible for an archive of any size, so pairs are those that share one of
     24 min-hash bands of two rows over runs of three words: nine in ten pairs of a similarity of .3 do, and all
-    but one in a thousand of .5.  Files of one compared text are one, and are paired with the first of them.
+    but one in a thousand of .5; those of a similarity under SHARED_RUNS are left out.  Files of one compared text are one, and are paired with the first of them.
     """
     words = F.split("t", " ")
     runs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 2, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(words, i, 3), " "))))
@@ -176,11 +178,12 @@ def duplicate_pairs(files: DataFrame, least: float = DUPLICATE_AT, names: float
     keyed = first.withColumn("runs", runs).select("first", F.explode(_bands()).alias("key"))
     met = keyed.join(keyed.withColumnRenamed("first", "b"), "key").filter("first < b").select(F.col("first").alias("a"), "b").distinct()
     alike = lambda d: d.withColumn("name_similarity", S.jaccard(name_tokens(stem(F.col("a"))), name_tokens(stem(F.col("b"))))).filter(F.col("name_similarity") >= names)
-    a, b = first.select(F.col("first").alias("a"), F.col("t").alias("ta")), first.select(F.col("first").alias("b"), F.col("t").alias("tb"))
+    held = first.withColumn("runs", runs)
+    a, b = held.select(F.col("first").alias("a"), F.col("t").alias("ta"), F.col("runs").alias("ra")), held.select(F.col("first").alias("b"), F.col("t").alias("tb"), F.col("runs").alias("rb"))
     both = alike(met).join(a, "a").join(b, "b")
     # lengths bound the ratio, so some pairs need no comparison
     short, long = F.least(F.length("ta"), F.length("tb")), F.greatest(F.length("ta"), F.length("tb"))
-    both = both.filter(2.0 * short / (short + long) >= least)
+    both = both.filter(2.0 * short / (short + long) >= least).filter(S.jaccard(F.col("ra"), F.col("rb")) >= SHARED_RUNS)
     found = both.withColumn("similarity", S.ratio(F.col("ta"), F.col("tb"), autojunk=False)).filter(F.col("similarity") >= least)
     return found.select("a", "b", "name_similarity", "similarity").unionByName(alike(copies).select("a", "b", "name_similarity", "similarity"))
 

@@ -50,13 +50,28 @@ def shared(a: Column, b: Column) -> Column:
     return F.aggregate(F.array_intersect(a, b), F.lit(0), lambda s, v: s + F.least(count(a, v), count(b, v)))
 
 
-def table_score(golden: Column, candidate: Column) -> Column:
+def cells(rows: Column) -> Column:
+    return F.transform(F.filter(F.flatten(rows), lambda c: c != ""), normal)
+
+
+def with_parts(pairs: DataFrame) -> DataFrame:
+    """Pairs with what scores compare, as columns of their own: scores look at each several times.
+
+    Of golden and candidate: _g and _c (bodies), and their _rows, _cells, _refs, _heads and _items.
+    """
+    d = pairs.withColumns({"_g": body(F.col("golden")), "_c": body(F.col("candidate"))})
+    d = d.withColumns({f"{x}_rows": table_rows(F.col(x)) for x in ("_g", "_c")} | {f"{x}_refs": references(F.col(x)) for x in ("_g", "_c")} | {f"{x}_heads": heading_rows(F.col(x)) for x in ("_g", "_c")} | {f"{x}_items": list_items(F.col(x)) for x in ("_g", "_c")})
+    return d.withColumns({f"{x}_cells": cells(F.col(f"{x}_rows")) for x in ("_g", "_c")})
+
+
+def without_parts(d: DataFrame) -> DataFrame:
+    return d.drop("_g", "_c", *(f"{x}_{p}" for x in ("_g", "_c") for p in ("rows", "refs", "heads", "items", "cells")))
+
+
+def table_score() -> Column:
     """Seven parts cells found (F1), three parts rows; without golden tables, less for each row made up."""
-    cells = lambda rows: F.transform(F.filter(F.flatten(rows), lambda c: c != ""), normal)
-    gr, cr = table_rows(golden), table_rows(candidate)
-    g, c = cells(gr), cells(cr)
-    hit = shared(g, c)
-    f1 = F.coalesce(F.try_divide(2.0 * hit, F.size(g) + F.size(c)), F.lit(0.0))
+    gr, cr, g, c = map(F.col, ("_g_rows", "_c_rows", "_g_cells", "_c_cells"))
+    f1 = F.coalesce(F.try_divide(2.0 * shared(g, c), F.size(g) + F.size(c)), F.lit(0.0))
     rows = F.try_divide(F.least(F.size(gr), F.size(cr)).cast("double"), F.greatest(F.size(gr), F.size(cr)))
     return F.when(F.size(gr) == 0, 1.0 / (1.0 + F.size(cr))).otherwise(0.7 * f1 + 0.3 * rows)
 
@@ -72,9 +87,9 @@ def list_items(t: Column) -> Column:
     return X.count_if(X.lines(t), lambda x: x.rlike(r"^(?U)\s*([-*+]|\d+\.)\s+"))
 
 
-def structure_score(golden: Column, candidate: Column) -> Column:
+def structure_score() -> Column:
     """Seven parts headings in order, three parts list items, of what the golden text has."""
-    g, c, gl, cl = heading_rows(golden), heading_rows(candidate), list_items(golden), list_items(candidate)
+    g, c, gl, cl = map(F.col, ("_g_heads", "_c_heads", "_g_items", "_c_items"))
     lists = F.try_divide(F.least(gl, cl).cast("double"), F.greatest(gl, cl))
     heads = S.token_ratio(g, c)
     return F.when((F.size(g) == 0) & (gl == 0), 1.0 / (1.0 + F.size(c) + cl)).when(F.size(g) == 0, lists).when(gl == 0, heads).otherwise(0.7 * heads + 0.3 * lists)
@@ -86,9 +101,9 @@ def references(t: Column) -> Column:
     return F.transform(F.concat(images, links), normal)
 
 
-def link_score(golden: Column, candidate: Column) -> Column:
-    g = references(golden)
-    return F.when(F.size(g) == 0, 1.0).otherwise(shared(g, references(candidate)).cast("double") / F.size(g))
+def link_score() -> Column:
+    g = F.col("_g_refs")
+    return F.when(F.size(g) == 0, 1.0).otherwise(shared(g, F.col("_c_refs")).cast("double") / F.size(g))
 
 
 def weighted(scores: dict[str, Column], weights: dict[str, float] = WEIGHTS) -> Column:
@@ -96,12 +111,12 @@ def weighted(scores: dict[str, Column], weights: dict[str, float] = WEIGHTS) ->
     return sum((scores[k] * (w / total) for k, w in weights.items()), F.lit(0.0))
 
 
-def scored(pairs: DataFrame) -> DataFrame:
-    """Pairs (golden, candidate, status) with the four scores and weighted; null unless status is scored."""
-    d = pairs.withColumns({"_g": body(F.col("golden")), "_c": body(F.col("candidate"))})
-    g, c, ok = F.col("_g"), F.col("_c"), F.col("status") == "scored"
-    d = d.withColumns({k: F.when(ok, f(g, c)) for k, f in (("text", text_score), ("tables", table_score), ("structure", structure_score), ("links_images", link_score))})
-    return d.withColumn("weighted", weighted({k: F.col(k) for k in WEIGHTS})).drop("_g", "_c")
+def scored(pairs: DataFrame, which: tuple[str, ...] = tuple(WEIGHTS)) -> DataFrame:
+    """Pairs (golden, candidate, status) with scores, and weighted if they are all there; null unless status is scored."""
+    d, ok = with_parts(pairs), F.col("status") == "scored"
+    score = {"text": lambda: text_score(F.col("_g"), F.col("_c")), "tables": table_score, "structure": structure_score, "links_images": link_score}
+    d = without_parts(d.withColumns({k: F.when(ok, score[k]()) for k in which}))
+    return d.withColumn("weighted", weighted({k: F.col(k) for k in WEIGHTS})) if set(which) == set(WEIGHTS) else d
 
 
 def pages(golden: Column) -> Column:

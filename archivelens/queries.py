@@ -536,9 +536,7 @@ def _bench(run):
 
 def _cell_score(d: DataFrame) -> DataFrame:
     """Scores that SQL can express: tables and links, of scored pairs."""
-    ok = F.col("status") == "scored"
-    d = d.withColumns({"_g": fidelity.body(F.col("golden")), "_c": fidelity.body(F.col("candidate"))})
-    return d.withColumns({"tables": F.when(ok, fidelity.table_score(F.col("_g"), F.col("_c"))), "links_images": F.when(ok, fidelity.link_score(F.col("_g"), F.col("_c")))})
+    return fidelity.scored(d, ("tables", "links_images"))
 
 
 def _bench_sql(end: str) -> str:
@@ -576,8 +574,8 @@ def _fidelity() -> dict:
         "bench_best": (_bench(lambda d: fidelity.best(roll(d))), None),
         "bench_pages": (_md(lambda d: d.select("doc_id", fidelity.pages(F.col("content")).alias("pages"))), Q.md_cte("SELECT doc_id, greatest(1, ceil(len(list_filter(string_split_regex(content, '[ \\t\\n\\r\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{a0}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{3000}]+'), lambda x: x <> ''))::DOUBLE / 500))::INT AS pages FROM md")),
         "bench_slug_parts": (_bench(lambda d: d.select("slug", fidelity.slug_parts(F.col("slug")).alias("p")).distinct().select("slug", "p.funder", "p.kind", "p.number")), f"WITH b AS ({fx.BENCH_SQL}) SELECT DISTINCT slug, string_split(slug, '-')[1] AS funder, kind, regexp_extract(slug, '([0-9]+)$', 1)::INT AS number FROM b"),
-        "bench_text_score": (_bench(lambda d: d.select("slug", "converter", F.when(F.col("status") == "scored", fidelity.text_score(fidelity.body(F.col("golden")), fidelity.body(F.col("candidate")))).alias("text"))), None),
-        "bench_structure_score": (_bench(lambda d: d.select("slug", "converter", F.when(F.col("status") == "scored", fidelity.structure_score(fidelity.body(F.col("golden")), fidelity.body(F.col("candidate")))).alias("structure"))), None),
+        "bench_text_score": (_bench(lambda d: fidelity.scored(d, ("text",)).select("slug", "converter", "text")), None),
+        "bench_structure_score": (_bench(lambda d: fidelity.scored(d, ("structure",)).select("slug", "converter", "structure")), None),
         "bench_scores": (_bench(lambda d: fidelity.scored(d).select("slug", "converter", "text", "tables", "structure", "links_images", "weighted")), None),
     }
 
