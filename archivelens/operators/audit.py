@@ -196,15 +196,17 @@ def low_confidence(a: DataFrame) -> DataFrame:
     return a.withColumn("confidence", FM.field(F.col("block"), "confidence")).filter(F.lower("confidence") == "low").select("article", "confidence")
 
 
-def first_phrase(body: Column, phrases: list[str]) -> Column:
-    """The first phrase, in the order given, that a text holds."""
-    low = F.lower(body)
-    return X.first_case([(F.contains(low, F.lit(p.lower())), p) for p in phrases])
+def with_phrase(a: DataFrame, phrases: list[str]) -> DataFrame:
+    """Articles that hold a phrase, with phrase, the first in the order given, and the first line that holds it."""
+    held = F.filter(X.literals([p.lower() for p in phrases]), lambda p: F.contains(F.col("_low"), p))
+    d = a.withColumn("_low", F.lower("body")).withColumn("_phrase", F.get(held, 0)).filter("_phrase is not null")
+    given = F.create_map(*(F.lit(x) for p in phrases for x in (p.lower(), p)))
+    line = X.first_line_with(F.col("_lines"), F.col("_phrase"))
+    return d.withColumn("_lines", F.transform("lines", F.lower)).withColumns({"phrase": F.element_at(given, F.col("_phrase")), "line": line}).drop("_low", "_phrase", "_lines")
 
 
 def phrasing(a: DataFrame, phrases: list[str]) -> DataFrame:
-    d = a.withColumn("phrase", first_phrase(F.col("body"), phrases)).filter("phrase is not null")
-    return d.select("article", "phrase", X.first_line_with(F.transform("lines", F.lower), F.lower("phrase")).alias("line"))
+    return with_phrase(a, phrases).select("article", "phrase", "line")
 
 
 def second_signal() -> Column:
@@ -217,8 +219,7 @@ def second_signal() -> Column:
 
 def truncation_suspects(a: DataFrame, c: dict = CONFIG) -> DataFrame:
     reason = second_signal() if c["second_signal"] else F.lit("phrase_match_only")
-    d = a.withColumns({"phrase": first_phrase(F.col("body"), c["truncation"]), "reason": reason}).filter("phrase is not null and reason is not null")
-    return d.select("article", "phrase", X.first_line_with(F.transform("lines", F.lower), F.lower("phrase")).alias("line"), "reason")
+    return with_phrase(a, c["truncation"]).withColumn("reason", reason).filter("reason is not null").select("article", "phrase", "line", "reason")
 
 
 def sections(a: DataFrame) -> DataFrame:
