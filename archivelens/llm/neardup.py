@@ -126,17 +126,23 @@ def _bags(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     return found
 
 
+#: Pairs, or nodes, whose shingles a worker holds at a time.
+_HELD = 1_000
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        # a pivot's text comes with each of its pairs; it is cut into shingles once for each batch
-        pivots = b.column("b").to_pylist()
-        first = {}
-        for i, p in enumerate(pivots):
-            first.setdefault(p, i)
-        ours = _bags(b.column("text_a"))
-        theirs = dict(zip(first, _bags(b.column("text_b").take(pa.array(list(first.values())))), strict=True))
-        near = np.array([similarity(x, theirs[p]) >= SIMILAR for x, p in zip(ours, pivots, strict=True)], bool)
-        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(near)], ["a", "b", "near"])
+    for whole in batches:
+        for at in range(0, len(whole), _HELD):
+            b = whole.slice(at, _HELD)
+            # a pivot's text comes with each of its pairs; it is cut into shingles once
+            pivots = b.column("b").to_pylist()
+            first = {}
+            for i, p in enumerate(pivots):
+                first.setdefault(p, i)
+            ours = _bags(b.column("text_a"))
+            theirs = dict(zip(first, _bags(b.column("text_b").take(pa.array(list(first.values())))), strict=True))
+            near = np.array([similarity(x, theirs[p]) >= SIMILAR for x, p in zip(ours, pivots, strict=True)], bool)
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(near)], ["a", "b", "near"])
 
 
 class _Block:
@@ -167,20 +173,22 @@ class _Block:
 def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in order of grp, block and guest: a block's members, then the nodes held against it. Out come links."""
     where, members, block = None, [], None
-    for b in batches:
+    for whole in batches:
         a, z = [], []
-        rows = zip(b.column("grp").to_pylist(), b.column("block").to_pylist(), b.column("guest").to_pylist(), b.column("n").to_pylist(), b.column("comp").to_pylist(), _bags(b.column("text")), strict=True)
-        for grp, number, guest, n, comp, (hashes, weights) in rows:
-            if (grp, number) != where:
-                where, members, block = (grp, number), [], None
-            if not guest:
-                members.append((n, comp, hashes, weights))
-                continue
-            if block is None:
-                block = _Block(members)
-            found = block.links(comp, hashes, weights)
-            a += [n] * len(found)
-            z += found.tolist()
+        for at in range(0, len(whole), _HELD):
+            b = whole.slice(at, _HELD)
+            columns = (b.column(c).to_pylist() for c in ("grp", "block", "guest", "n", "comp"))
+            for grp, number, guest, n, comp, (hashes, weights) in zip(*columns, _bags(b.column("text")), strict=True):
+                if (grp, number) != where:
+                    where, members, block = (grp, number), [], None
+                if not guest:
+                    members.append((n, comp, hashes, weights))
+                    continue
+                if block is None:
+                    block = _Block(members)
+                found = block.links(comp, hashes, weights)
+                a += [n] * len(found)
+                z += found.tolist()
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], ["a", "b"])
 
 

@@ -73,7 +73,7 @@ def _encoded(path: str, end_id: int):
         kind = "<u2" if size <= 1 << 16 else "<u4"
         for b in batches:
             at = 0
-            for text in T.slices(b.column("text")):
+            for text in T.slices(b.column("text"), T.LARGE_SLICE):
                 ids, starts = memo.encode(text)
                 # sums are taken from the start of each slice of some hundred texts, so equal texts differ by rounding only
                 keys = np.concatenate([_rounded_keys(ids, starts, i, min(i + 256, len(text)), table) for i in range(0, len(text), 256)])

@@ -196,7 +196,7 @@ def _segments(path: str, end_id: int, file_ids: int):
 
         for b in batches:
             at = 0
-            for text in T.slices(b.column("text")):
+            for text in T.slices(b.column("text"), T.LARGE_SLICE):
                 ids, starts = memo.encode(text)
                 ends = starts[1:] + np.arange(1, len(text) + 1)
                 every = np.full(len(ids) + len(text), end_id, np.uint32)

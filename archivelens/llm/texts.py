@@ -9,7 +9,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are worked on in slices of about so many bytes, which bounds a worker's memory; a longer text is a slice by itself.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
+#: Where pieces that repeat are looked up but once a slice, larger ones are worth their memory.
+LARGE_SLICE = 8 << 20
 
 #: The bytes of white space that separate words: 0x20 and 0x09 to 0x0D.
 SPACE = np.zeros(256, bool)
@@ -30,6 +32,17 @@ def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[pa.Array]:
         stop = min(max(stop, at + 1), len(texts))
         yield texts.slice(at, stop - at).cast(pa.string())
         at = stop
+        if ends[-1] > size // 4:  # not worth its time for small batches
+            trim()
+
+
+def trim() -> None:
+    """Give freed memory back: a worker lives on for other tasks, and its neighbours need what it doesn't."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    if give := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        give(0)
 
 
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -93,7 +93,7 @@ def count_tokens(text: Column | str, path: str, chunk: int = CHUNK_CHARS, overla
         memo, spliced = K.memo(path), K.kind(path) == "bytes"
         for batch in batches:
             tokens, chunks, wide = [], [], []
-            for part in T.slices(batch):
+            for part in T.slices(batch, T.LARGE_SLICE):
                 chars = np.asarray(pc.utf8_length(part))
                 huge = (chars > chunk) if spliced else np.zeros(len(part), bool)
                 _, starts = memo.encode(pc.if_else(pa.array(huge), "", part))

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from . import texts as T
 
 #: At most so many pieces are remembered by a worker (about 60 MB for a million).
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
 
 #: Pieces are given to the library so many at a time, on end.
 TOGETHER = 1_000
