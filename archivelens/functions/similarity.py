@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,9 +15,40 @@ from pyspark.sql import functions as F
 from .arrow import rows_pass
 
 
+def block_ratio(x: str, y: str) -> float:
+    """The ratio of two texts without popular characters left out, as the standard library gives it, but faster.
+
+    The longest block of a rectangle is found row by row: an array holds, for each place in ``y``, how long the run
+    that ends there is. Of equally long ones the first in ``x`` counts, then the first in ``y``.
+    """
+    a, b = (np.frombuffer(t.encode("utf-32-le"), np.uint32) for t in (x, y))
+    if not len(a) or not len(b):
+        return 0.0 if len(a) + len(b) else 1.0
+    total, todo = 0, [(0, len(a), 0, len(b))]
+    while todo:
+        a0, a1, b0, b1 = todo.pop()
+        other = b[b0:b1]
+        run = np.zeros(len(other) + 1, np.int32)
+        best, at, bt = 0, 0, 0
+        for i in range(a0, a1):
+            longer = np.where(other == a[i], run[:-1] + 1, 0)
+            run[1:] = longer
+            j = int(longer.argmax())
+            if longer[j] > best:
+                best, at, bt = int(longer[j]), i, b0 + j
+        if best:
+            total += best
+            if a0 < at + 1 - best and b0 < bt + 1 - best:
+                todo.append((a0, at + 1 - best, b0, bt + 1 - best))
+            if at + 1 < a1 and bt + 1 < b1:
+                todo.append((at + 1, a1, bt + 1, b1))
+    return 2.0 * total / (len(a) + len(b))
+
+
 def ratio(a: Column, b: Column, autojunk: bool = True) -> Column:
     """Twice the length of all matching blocks over both lengths, 0 to 1."""
-    return rows_pass(lambda x, y: None if x is None or y is None else SequenceMatcher(None, x, y, autojunk=autojunk).ratio(), "double", pa.float64())(a, b)
+    of = (lambda x, y: SequenceMatcher(None, x, y).ratio()) if autojunk else block_ratio
+    return rows_pass(lambda x, y: None if x is None or y is None else of(x, y), "double", pa.float64())(a, b)
 
 
 def quick_ratio(a: Column, b: Column) -> Column:

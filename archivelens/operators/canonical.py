@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from difflib import SequenceMatcher
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -212,7 +209,7 @@ def _alike(a: dict, b: dict) -> float:
     """The higher of the texts' ratio and the names' similarity."""
     x, y = _tokens(a["bare"]), _tokens(b["bare"])
     names = len(x & y) / len(x | y) if x and y else 0.0
-    texts = SequenceMatcher(None, a["snippet"], b["snippet"], autojunk=False).ratio() if a["snippet"] and b["snippet"] else 0.0
+    texts = S.block_ratio(a["snippet"], b["snippet"]) if a["snippet"] and b["snippet"] else 0.0
     return max(names, texts)
 
 
@@ -244,9 +241,8 @@ def settle(rows: list[dict]) -> list[dict]:
     return rows
 
 
-def _settled(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for g in groups:
-        yield pd.DataFrame(settle(g.sort_values("filename").to_dict("records")))[["filename", "canonical", "reason"]]
+def _settled(group: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame(settle(group.sort_values("filename").to_dict("records")))[["filename", "canonical", "reason"]]
 
 
 def canonicalize(files: DataFrame) -> DataFrame:
@@ -259,8 +255,7 @@ def canonicalize(files: DataFrame) -> DataFrame:
     d = checkpointed(d)
     live = d.filter("not webpage and not draft")
     subs = live.filter("submission_number is not null").select("filename", "app_key", "submission_number", snippet(F.col("content")).alias("snippet"), without_version(F.col("doc_identity")).alias("bare"))
-    one = lambda g: next(_settled(iter([g])))
-    settled = checkpointed(subs.groupBy("app_key").applyInPandas(one, "filename string, canonical boolean, reason string"))
+    settled = checkpointed(subs.groupBy("app_key").applyInPandas(_settled, "filename string, canonical boolean, reason string"))
     stays = live.join(settled.filter("not canonical").select("filename"), "filename", "left_anti")
     pairs = duplicate_pairs(stays)
     ranked = pick_best(clusters(pairs).join(stays.select("filename", "version_score", "date_str", F.lit(0).alias("length")), "filename"))

@@ -280,7 +280,6 @@ def _frontmatter() -> dict:
     }
 
 
-_SECTIONS = {k: ["Body", "Key Figures", "Definition"] for k in FUNDERS}
 _TYPES = fx.KINDS
 
 
@@ -419,12 +418,10 @@ def _versions() -> dict:
     rest = f"{_SEG}[3:]"
     own = "list_filter(" + rest + ", lambda s: NOT regexp_matches(s, '" + "|".join(canonical.SUBMISSIONS) + "'))"
     draft = " OR ".join(f"ends_with(regexp_replace(filename, '\\.[^.]*$', ''), '{e}')" for e, n in canonical.SCORES.items() if n < 0) + " OR " + " OR ".join(f"contains(lower(left(content, 500)), '{w}')" for w in canonical.DRAFT_WORDS) + f" OR regexp_matches(filename, '{canonical.DRAFT_NAMES}')"
-    ta, tb = _names_of_sql("regexp_replace(a.filename, '\\.[^.]*$', '')"), _names_of_sql("regexp_replace(b.filename, '\\.[^.]*$', '')")
     pairs = Q.md_cte("").rstrip() + f""",
 n AS (SELECT filename, {_names_of_sql("regexp_replace(filename, '" + chr(92) + ".[^.]*$', '')")} AS t FROM md),
 p AS (SELECT a.filename AS a, b.filename AS b, len(list_intersect(a.t, b.t)) AS i, len(a.t) + len(b.t) AS s FROM n a JOIN n b ON a.filename < b.filename)
 SELECT a, b, i::DOUBLE / (s - i) AS name_similarity FROM p WHERE i::DOUBLE / (s - i) >= 0.8"""
-    del ta, tb
     best = Q.md_cte(f"SELECT cluster, doc_id FROM (SELECT doc_id, array_to_string({_SEG}[1:2], '__') AS cluster, row_number() OVER (PARTITION BY array_to_string({_SEG}[1:2], '__') ORDER BY {_score_sql()} DESC, length(content) DESC, filename) AS k FROM md) WHERE k = 1")
     return {
         "filename_segments": (_parsed(lambda d: d.select("doc_id", F.array_join("segments", "|").alias("segments"))), md(f"array_to_string({_SEG}, '|') AS segments")),

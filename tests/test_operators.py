@@ -99,6 +99,18 @@ def test_duplicates_against_all_pairs(spark):
     assert found <= near and {x for p in found for x in p} == {x for p in near for x in p} and len(found) == 2
 
 
+def test_ratio_is_the_standard_one():
+    import random
+
+    from archivelens.functions.similarity import block_ratio
+
+    rng = random.Random(5)
+    for n in (0, 1, 5, 40, 200):
+        for _ in range(20):
+            a, b = ("".join(rng.choice("ab cdé字") for _ in range(rng.randint(0, n))) for _ in range(2))
+            assert block_ratio(a, b) == SequenceMatcher(None, a, b, autojunk=False).ratio()
+
+
 def test_personal_data(spark):
     d = spark.createDataFrame([(1, "mail a.b@c.org\nand 416-555-0100"), (2, "Jane  Doe"), (3, "by jane doe"), (4, "1234567890123")], "id int, t string")
     rows = pii.findings(d, "id", "t", ["Jane Doe"])
