@@ -198,11 +198,13 @@ def low_confidence(a: DataFrame) -> DataFrame:
 
 def with_phrase(a: DataFrame, phrases: list[str]) -> DataFrame:
     """Articles that hold a phrase, with phrase, the first in the order given, and the first line that holds it."""
-    held = F.filter(X.literals([p.lower() for p in phrases]), lambda p: F.contains(F.col("_low"), p))
-    d = a.withColumn("_low", F.lower("body")).withColumn("_phrase", F.get(held, 0)).filter("_phrase is not null")
+    # the text is bound to a variable: a filter on what is found would else repeat its making for each phrase
+    listed = X.literals([p.lower() for p in phrases])
+    held = F.get(F.transform(F.array(F.lower("body")), lambda t: F.get(F.filter(listed, lambda p: F.contains(t, p)), 0)), 0)
+    d = a.withColumn("_phrase", held).filter("_phrase is not null")
     given = F.create_map(*(F.lit(x) for p in phrases for x in (p.lower(), p)))
     line = X.first_line_with(F.col("_lines"), F.col("_phrase"))
-    return d.withColumn("_lines", F.transform("lines", F.lower)).withColumns({"phrase": F.element_at(given, F.col("_phrase")), "line": line}).drop("_low", "_phrase", "_lines")
+    return d.withColumn("_lines", F.transform("lines", F.lower)).withColumns({"phrase": F.element_at(given, F.col("_phrase")), "line": line}).drop("_phrase", "_lines")
 
 
 def phrasing(a: DataFrame, phrases: list[str]) -> DataFrame:
