@@ -4,16 +4,27 @@ Passages are the lines of a text, its paragraphs, and the whole.  A Dice coeffic
 with a template of n bigrams asks for n * T / (2 - T) to n * (2 - T) / T bigrams in the passage, so
 sizes rule most pairs out.  What is left must share bigrams: the passages' bigrams are looked up in the
 templates' table, which is of fixed size and broadcast, and the shared ones are counted.
+
+What no such passage covers is compared by windows: of each template's number of words, from every
+bigram the template has to the last one it has, over ends of sentences, lines and paragraphs.  For
+them, the paragraphs of licences and further licence texts are templates as well.  A window of T shares
+n * T / (2 - T) of the template's bigrams at least, so it has one of any set of all but so many less one;
+texts with none of the rarest of them are left out, without loss.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import keep
+
 THRESHOLD = 0.7
+#: Paragraphs of fewer words say too little to be templates.
+LEAST_PARAGRAPH = 10
 
 #: Licences by their public identifiers, with the names that notices give them.
 NAMES = {
@@ -42,6 +53,36 @@ TEXTS = {
     "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
 }
 
+_GNU = """This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} as published by the Free Software Foundation, either version {2} of the License, or (at your option) any later version.
+
+This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1} for more details.
+
+You should have received a copy of the GNU {1} along with this {0}. If not, see https://www.gnu.org/licenses/."""
+_BSD_TERMS = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""
+_BSD_NAMES = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_REST = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_CC = "This work is licensed under the Creative Commons {} 4.0 International License. To view a copy of this license, visit http://creativecommons.org/licenses/{}/4.0/ or send a letter to Creative Commons, PO Box 1866, Mountain View, CA 94042, USA."
+#: Texts that only windows are compared with, by paragraphs and as wholes.
+BLOCKS = {
+    "AGPL-3.0": _GNU.format("program", "Affero General Public License", "3"),
+    "Apache-2.0": re.sub(r"(You may obtain|Unless required|See the License)", r"\n\n\1", TEXTS["Apache-2.0"]),
+    "BSD-2-Clause": "\n\n".join([_BSD_TERMS, _BSD_REST]),
+    "BSD-3-Clause": "\n\n".join([_BSD_TERMS, _BSD_NAMES, _BSD_REST]),
+    "CC-BY-4.0": _CC.format("Attribution", "by"),
+    "CC-BY-NC-4.0": _CC.format("Attribution-NonCommercial", "by-nc"),
+    "CC-BY-SA-4.0": _CC.format("Attribution-ShareAlike", "by-sa"),
+    "GPL-2.0": _GNU.format("program", "General Public License", "2"),
+    "GPL-3.0": re.sub(r"(This program is distributed|You should have)", r"\n\n\1", TEXTS["GPL-3.0"]),
+    "ISC": re.sub(r"(THE SOFTWARE IS|IN NO EVENT)", r"\n\n\1", TEXTS["ISC"]),
+    "LGPL-3.0": _GNU.format("library", "Lesser General Public License", "3"),
+    "MIT": re.sub(r"(The above copyright|THE SOFTWARE IS PROVIDED)", r"\n\n\1", TEXTS["MIT"]),
+    "MPL-2.0": re.sub(r"(If a copy)", r"\n\n\1", TEXTS["MPL-2.0"]),
+}
+
 
 def templates() -> list[tuple[str, list[str]]]:
     """Licence and words of every template, without repeats."""
@@ -55,6 +96,29 @@ def templates() -> list[tuple[str, list[str]]]:
     return [(licence, text.split(" ")) for text, licence in found.items()]
 
 
+def window_templates() -> list[tuple[str, list[str]]]:
+    """Licence and words of every template of windows; a paragraph that licences share is the first one's."""
+    found = {" ".join(words): licence for licence, words in templates()}
+    for licence, text in BLOCKS.items():
+        for part in (text, *text.split("\n\n")):
+            words = _words(part)
+            if len(words) >= LEAST_PARAGRAPH:
+                found.setdefault(" ".join(words), licence)
+    return [(licence, text.split(" ")) for text, licence in found.items()]
+
+
+def _needed(size: int, threshold: float) -> int:
+    """Bigrams of a template of ``size`` that any passage of ``threshold`` has."""
+    return size_bounds(size, threshold)[0]
+
+
+def _rarest(sets: list[list[str]], threshold: float) -> list[list[str]]:
+    """For each template, bigrams of which any passage that matches it has one."""
+    seen = Counter(p for b in sets for p in b)
+    plain = lambda p: sum(len(w) < 4 for w in p.split(" "))
+    return [sorted(b, key=lambda p: (plain(p), seen[p], p))[: len(b) - _needed(len(b), threshold) + 1] for b in sets]
+
+
 def _words(text: str) -> list[str]:
     return [w for w in re.split(r"[^a-z0-9]+", text.lower()) if w]
 
@@ -84,10 +148,57 @@ def passages(text: Column) -> Column:
     return F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, "\n[ \t\r]*\n"), F.array(text)))
 
 
+def _pairs(words: Column) -> Column:
+    """The pairs of neighbouring words by place, repeats too."""
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat_ws(" ", a, b))
+
+
+def _spans(parts: Column) -> Column:
+    """Hash, first word and end of each of ``parts`` that follow one another."""
+    sized = F.transform(parts, lambda x: F.struct(F.xxhash64(x).alias("p"), F.size(normal_words(x)).alias("n")))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<p:bigint,start:int,stop:int>>").alias("out"))
+    step = lambda acc, x: F.struct((acc["at"] + x["n"]).alias("at"), F.concat(acc["out"], F.array(F.struct(x["p"].alias("p"), acc["at"].alias("start"), (acc["at"] + x["n"]).alias("stop")))).alias("out"))
+    return F.aggregate(sized, start, step, lambda acc: acc["out"])
+
+
+def windows(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Windows that match: doc_id, start and stop (words), licence, shared, dice, and ``over``, the hashes of the passages they meet."""
+    spark = docs.sparkSession
+    sets = [(i, licence, len(words), _bigrams(words)) for i, (licence, words) in enumerate(window_templates())]
+    rows = [(i, licence, n, len(b), _needed(len(b), threshold), j, p) for i, licence, n, b in sets for j, p in enumerate(b)]
+    table = F.broadcast(spark.createDataFrame(rows, "template int, licence string, t_words int, t_size int, needed int, id int, pair string"))  # some thousand rows, fixed by the templates
+    rarest = _rarest([s[3] for s in sets], threshold)
+    all_rare = sorted({p for r in rarest for p in r})
+    rare_words = sorted({max(p.split(" "), key=len) for p in all_rare})
+    text = F.col("text")
+    # most texts have none of the words, so their bigrams needn't be made
+    some = docs.select("doc_id", "text").filter(F.arrays_overlap(F.split(F.lower(text), "[^a-z0-9]+"), F.lit(rare_words)) & F.arrays_overlap(_pairs(normal_words(text)), F.lit(all_rare)))
+    may = lambda has: F.array_compact(F.array(*(F.when(F.arrays_overlap(has, F.lit(r)), i) for i, r in enumerate(rarest))))
+    # bound as a lambda's variable, the shared pairs are found once a text; kept, the list isn't made again for each pair
+    has = F.array(F.array_intersect(_pairs(normal_words(text)), F.lit(all_rare)))
+    some = keep(some.withColumns({"k": F.xxhash64("doc_id", "text"), "may": F.transform(has, may)[0]}), "licenses")
+    placed = some.select("k", "may", F.posexplode(_pairs(normal_words(text))).alias("pos", "pair")).join(table, "pair").filter(F.array_contains("may", F.col("template")))
+    groups = placed.groupBy("k", "template", "licence", "t_words", "t_size", "needed").agg(F.sort_array(F.collect_set(F.struct("pos", "id"))).alias("hits"))
+    near = groups.filter(F.size(F.array_distinct("hits.id")) >= F.col("needed"))
+    from_hit = lambda h, i: F.filter(F.slice("hits", i + 1, F.col("t_words") - 1), lambda x: x["pos"] < h["pos"] + F.col("t_words") - 1)
+    found = near.select("k", "licence", "t_size", "needed", F.explode(F.transform("hits", from_hit)).alias("h")).withColumn("shared", F.size(F.array_distinct("h.id"))).filter("shared >= needed")
+    found = found.select("k", F.struct("licence", "t_size", "shared", F.col("h")[0]["pos"].alias("start"), (F.element_at("h", -1)["pos"] + 2).alias("stop")).alias("x"))
+    both = some.join(found.groupBy("k").agg(F.collect_list("x").alias("xs")), "k").withColumn("b", _pairs(normal_words(text)))
+    whole = F.array(F.struct(F.xxhash64("text").alias("p"), F.lit(0).alias("start"), (F.size("b") + 1).alias("stop")))
+    spans = F.concat(_spans(F.split(text, "\n")), _spans(F.split(text, "\n[ \t\r]*\n")), whole)
+    size = lambda x: F.size(F.array_distinct(F.slice("b", x["start"] + 1, x["stop"] - x["start"] - 1)))
+    met = lambda x: F.transform(F.filter("spans", lambda s: (s["start"] < x["stop"]) & (s["stop"] > x["start"])), lambda s: s["p"])
+    scored = both.withColumn("spans", spans).withColumn("xs", F.filter(F.transform("xs", lambda x: x.withField("dice", 2 * x["shared"] / (size(x) + x["t_size"]))), lambda x: x["dice"] >= threshold))
+    return scored.select("doc_id", "k", F.explode(F.transform("xs", lambda x: x.withField("over", met(x)))).alias("x")).select("doc_id", "k", "x.start", "x.stop", "x.licence", "x.shared", "x.dice", "x.over")
+
+
 def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row for each document: doc_id, license, dice (both null without a match), n_licenses and n_passages that match.
 
-    The best match counts; of equal ones, the first licence by name.  A null text has no passage;
+    The best match counts; of equal ones, the first licence by name.  Windows that meet a matching passage
+    are left out; of the others, the one that shares most counts, if its Dice coefficient is higher than
+    that of the best passage, and windows that overlap are one passage.  A null text has no passage;
     rows of one id count as one document whose passages are those of all rows; other columns of
     ``docs`` are ignored; an empty table gives an empty result.
     """
@@ -107,8 +218,20 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     dice = shared.withColumn("dice", F.when(F.col("template").isNotNull(), 2 * F.col("shared") / (F.col("n") + F.col("t_size"))))
     good = F.col("dice") >= threshold
     best = F.min(F.when(good, F.struct((-F.col("dice")).alias("d"), "licence"))).alias("best")
-    found = dice.groupBy("doc_id").agg(best, F.count_distinct(F.when(good, F.col("licence"))).alias("n_licenses"), F.count_distinct(F.when(good, F.col("p"))).alias("n_passages"))
-    return found.select("doc_id", F.col("best.licence").alias("license"), (-F.col("best.d")).alias("dice"), "n_licenses", "n_passages")
+    found = dice.groupBy("doc_id").agg(best, F.collect_set(F.when(good, F.col("licence"))).alias("licences"), F.collect_set(F.when(good, F.col("p"))).alias("ps"))
+    w = windows(docs, threshold).groupBy(F.col("doc_id").alias("id")).agg(F.sort_array(F.collect_set(F.struct("k", "start", "stop", "licence", "shared", "dice", "over"))).alias("w"))
+    all_ = found.join(w, F.col("doc_id").eqNullSafe(F.col("id")), "left").withColumn("w", F.filter(F.coalesce("w", F.array().cast(w.schema["w"].dataType)), lambda x: ~F.arrays_overlap(x["over"], "ps")))
+    most_shared = F.array_min(F.transform("w", lambda x: F.struct((-x["shared"]).alias("s"), (-x["dice"]).alias("d"), x["licence"].alias("licence"))))
+    none = F.struct(F.lit(0).alias("n"), F.lit(None).cast("bigint").alias("k"), F.lit(0).alias("reach"))
+    # windows are in order of text and start; one that begins where none before reaches is a new passage
+    fresh = lambda acc, x: acc["k"].isNull() | (acc["k"] != x["k"]) | (x["start"] >= acc["reach"])
+    step = lambda acc, x: F.struct((acc["n"] + fresh(acc, x).cast("int")).alias("n"), x["k"].alias("k"), F.when(fresh(acc, x), x["stop"]).otherwise(F.greatest(acc["reach"], x["stop"])).alias("reach"))
+    islands = F.aggregate("w", none, step, lambda acc: acc["n"])
+    all_ = all_.withColumn("top", most_shared)
+    top = F.when(F.col("best").isNull() | (F.col("top.d") < F.col("best.d")), F.struct(F.col("top.d").alias("d"), F.col("top.licence").alias("licence"))).otherwise(F.col("best"))
+    top = F.when(F.col("top").isNull(), F.col("best")).otherwise(top)
+    n_licenses = F.size(F.array_union("licences", F.transform("w", lambda x: x["licence"]))).cast("bigint")
+    return all_.select("doc_id", top["licence"].alias("license"), (-top["d"]).alias("dice"), n_licenses.alias("n_licenses"), (F.size("ps") + islands).cast("bigint").alias("n_passages"))
 
 
 def oracle() -> str:

@@ -222,6 +222,20 @@ def test_licences(spark, odd, none):
     assert licenses.scan(none).count() == 0
 
 
+def test_licences_inside_longer_texts(spark):
+    rng = random.Random(5)
+    other = lambda n: " ".join("".join(rng.choices("bdfgklmoprstu", k=6)) for _ in range(n))
+    inside = lambda x: f"{other(300)}\n\n{x}\n\n{other(300)}"
+    mit = "MIT License\n\nCopyright (c) 2020 Some Body\n\n" + licenses.BLOCKS["MIT"]
+    wrapped = licenses.BLOCKS["BSD-3-Clause"].replace(", ", ",\n")
+    rows = [inside(mit), inside(licenses.BLOCKS["GPL-3.0"]), f"{other(30)}. Released under the MIT License. {other(30)}", inside(wrapped), inside(licenses.BLOCKS["BSD-2-Clause"].replace("\n\n", "\n")), inside(licenses.BLOCKS["LGPL-3.0"]), inside(licenses.BLOCKS["CC-BY-SA-4.0"]), inside(licenses.BLOCKS["AGPL-3.0"]), other(600)]
+    rows.append(f"{other(9)} licensed under the Apache License, Version 2.0, {other(40)} {licenses.TEXTS['ISC']} {other(40)}")
+    found = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")).collect()}
+    assert [found[i]["license"] for i in range(10)] == ["MIT", "GPL-3.0", "MIT", "BSD-3-Clause", "BSD-2-Clause", "LGPL-3.0", "CC-BY-SA-4.0", "AGPL-3.0", None, "ISC"]
+    assert found[2]["dice"] == 1.0 and found[2]["n_passages"] == 1 and found[8]["n_passages"] == 0
+    assert found[9]["n_passages"] == 2 and found[9]["n_licenses"] == 2
+
+
 def test_size_bounds_prune_no_match():
     for n in range(1, 60):
         low, high = licenses.size_bounds(n)
