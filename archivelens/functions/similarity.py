@@ -56,6 +56,30 @@ def quick_ratio(a: Column, b: Column) -> Column:
     return rows_pass(lambda x, y: None if x is None or y is None else SequenceMatcher(None, x, y).quick_ratio(), "double", pa.float64())(a, b)
 
 
+def subsequence_ratio(x: str, y: str) -> float:
+    """Twice the length of the longest common subsequence over both lengths; matching blocks are a common subsequence, so no ratio is higher."""
+    places: dict[str, int] = {}
+    for i, c in enumerate(x):
+        places[c] = places.get(c, 0) | 1 << i
+    full = (1 << len(x)) - 1
+    free = full
+    for c in y:
+        met = free & places.get(c, 0)
+        free = ((free + met) | (free - met)) & full
+    return 2.0 * (len(x) - free.bit_count()) / (len(x) + len(y)) if x or y else 1.0
+
+
+def ratio_from(a: Column, b: Column, least: float) -> Column:
+    """The ratio of two texts without popular characters left out; null where an upper bound shows it is under ``least``."""
+
+    def of(x: str | None, y: str | None) -> float | None:
+        if x is None or y is None or subsequence_ratio(x, y) < least:
+            return None
+        return block_ratio(x, y)
+
+    return rows_pass(of, "double", pa.float64())(a, b)
+
+
 def token_ratio(a: Column, b: Column) -> Column:
     """The ratio of two arrays of words."""
     return rows_pass(lambda x, y: None if x is None or y is None else SequenceMatcher(None, x, y).ratio(), "double", pa.float64())(a, b)

@@ -30,8 +30,6 @@ DRAFT_NAMES = r"(?i)_(?:draft|prep|working|todo)(?:_|\.)"
 DRAFT_WORDS = ["draft", "work in progress", "not final", "pending review"]
 MATCH_AT, DUPLICATE_AT, NAMES_AT = 0.45, 0.70, 0.25
 MIN_LENGTH, COMPARED = 800, 2000
-#: Texts whose runs of three words are less alike aren't compared character by character.
-SHARED_RUNS = 0.15
 
 
 def stem(filename: Column) -> Column:
@@ -154,35 +152,31 @@ def name_pairs(files: DataFrame, least: float = NAMES_AT) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "name_similarity").distinct()
 
 
-def _bands(bands: int = 24, rows: int = 2) -> Column:
-    """Keys of the min-hash bands of the array of hashes ``runs``."""
-    least = lambda seed: F.array_min(F.transform("runs", lambda h: F.xxhash64(h, F.lit(seed))))
-    return F.array(*(F.xxhash64(F.lit(b), *(least(b * rows + r) for r in range(rows))) for b in range(bands)))
-
-
 def duplicate_pairs(files: DataFrame, least: float = DUPLICATE_AT, names: float = NAMES_AT) -> DataFrame:
     """Pairs of files with alike names whose compared texts have a ratio of ``least``: a, b, name_similarity, similarity.
 
-    Comparing all pairs isn't feasible for an archive of any size, so pairs are those that share one of
-    24 min-hash bands of two rows over runs of three words: nine in ten pairs of a similarity of .3 do, and all
-    but one in a thousand of .5; those of a similarity under SHARED_RUNS are left out.  Files of one compared text are one, and are paired with the first of them.
+    Candidates are all pairs of :func:`name_pairs`; lengths and longest common subsequences bound the ratio from above,
+    so most need no comparison of blocks.  Files of one text and one set of name words are one, and are paired with the first of them.
+    Names of one text that are linked, also over others, form a group; of the alike pairs between two groups, only the
+    first of either order is compared, which links as much.
     """
-    words = F.split("t", " ")
-    runs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 2, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(words, i, 3), " "))))
-    texts = checkpointed(files.select("filename", F.left(comparable(F.col("content")), F.lit(COMPARED)).alias("t")).filter("t <> ''"))
-    first = checkpointed(texts.groupBy("t").agg(F.min("filename").alias("first")))
-    copies = texts.join(first, "t").filter("filename <> first").select(F.col("first").alias("a"), F.col("filename").alias("b"), F.lit(1.0).alias("similarity"))
-    keyed = first.withColumn("runs", runs).select("first", F.explode(_bands()).alias("key"))
-    met = keyed.join(keyed.withColumnRenamed("first", "b"), "key").filter("first < b").select(F.col("first").alias("a"), "b").distinct()
-    alike = lambda d: d.withColumn("name_similarity", S.jaccard(name_tokens(stem(F.col("a"))), name_tokens(stem(F.col("b"))))).filter(F.col("name_similarity") >= names)
-    held = first.withColumn("runs", runs)
-    a, b = held.select(F.col("first").alias("a"), F.col("t").alias("ta"), F.col("runs").alias("ra")), held.select(F.col("first").alias("b"), F.col("t").alias("tb"), F.col("runs").alias("rb"))
-    both = alike(met).join(a, "a").join(b, "b")
-    # lengths bound the ratio, so some pairs need no comparison
-    short, long = F.least(F.length("ta"), F.length("tb")), F.greatest(F.length("ta"), F.length("tb"))
-    both = both.filter(2.0 * short / (short + long) >= least).filter(S.jaccard(F.col("ra"), F.col("rb")) >= SHARED_RUNS)
-    found = both.withColumn("similarity", S.ratio(F.col("ta"), F.col("tb"), autojunk=False)).filter(F.col("similarity") >= least)
-    return found.select("a", "b", "name_similarity", "similarity").unionByName(alike(copies).select("a", "b", "name_similarity", "similarity"))
+    texts = files.select("filename", F.left(comparable(F.col("content")), F.lit(COMPARED)).alias("t")).filter("t <> ''")
+    texts = texts.withColumn("s", F.array_sort(name_tokens(stem(F.col("filename"))))).filter(F.size("s") > 0)
+    texts = checkpointed(texts.withColumn("first", F.min("filename").over(Window.partitionBy("t", "s"))))
+    copies = texts.filter("filename <> first").select(F.col("first").alias("a"), F.col("filename").alias("b"), F.lit(1.0).alias("name_similarity"), F.lit(1.0).alias("similarity"))
+    held = texts.filter("filename = first").select("filename", "t", F.xxhash64("t").alias("h"), F.length("t").alias("n"))
+    alike = name_pairs(held.select("filename"), names)
+    a, b = (held.select(F.col("filename").alias(x), F.col("h").alias(f"h{x}"), F.col("n").alias(f"n{x}")) for x in "ab")
+    both = checkpointed(alike.join(a, "a").join(b, "b").filter(2.0 * F.least("na", "nb") / (F.col("na") + F.col("nb")) >= least))
+    same = both.filter("ha = hb").select("a", "b", "name_similarity", F.lit(1.0).alias("similarity"))
+    groups = checkpointed(clusters(same).select("filename", "cluster"))
+    ga, gb = groups.select(F.col("filename").alias("a"), F.col("cluster").alias("ga")), groups.select(F.col("filename").alias("b"), F.col("cluster").alias("gb"))
+    near = both.filter("ha <> hb").join(ga, "a", "left").join(gb, "b", "left")
+    one = near.groupBy(F.coalesce("ga", "a").alias("ga"), F.coalesce("gb", "b").alias("gb")).agg(F.min(F.struct("a", "b", "name_similarity")).alias("x")).select("ga", "gb", "x.*")
+    ta, tb = held.select(F.col("filename").alias("a"), F.col("t").alias("ta")), held.select(F.col("filename").alias("b"), F.col("t").alias("tb"))
+    found = one.join(ta, "a").join(tb, "b").repartition("a", "b").withColumn("similarity", S.ratio_from(F.col("ta"), F.col("tb"), least)).filter(F.col("similarity") >= least)
+    first = found.groupBy(F.least("ga", "gb"), F.greatest("ga", "gb")).agg(F.min(F.struct("a", "b", "name_similarity", "similarity")).alias("x")).select("x.*")
+    return first.unionByName(same).unionByName(copies)
 
 
 def exact_duplicates(docs: DataFrame, key: str, text: str) -> DataFrame:

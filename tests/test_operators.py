@@ -99,6 +99,32 @@ def test_duplicates_against_all_pairs(spark):
     assert found <= near and {x for p in found for x in p} == {x for p in near for x in p} and len(found) == 2
 
 
+def test_duplicates_with_letters_changed_all_over(spark):
+    words = "many people came along the narrow river road before winter and carried their heavy baskets toward market while others stayed behind singing".split()
+    changed = " ".join(w[:-1] + "q" if i % 4 == 0 else w for i, w in enumerate(words))
+    files = [("OAC__2024_Plan__report.md", " ".join(words)), ("OAC__2024_Plan__report_ocr.md", changed)]
+    found = canonical.duplicate_pairs(spark.createDataFrame(files, "filename string, content string")).collect()
+    assert [(r["a"], r["b"]) for r in found] == [(files[0][0], files[1][0])] and found[0]["similarity"] >= 0.9
+
+
+def test_copies_whose_first_has_another_name(spark):
+    text = "the quick brown fox jumps over the lazy dog and runs away through the long green field to the river"
+    files = [("AAA__1999_Other.md", text), ("OAC__2024_Plan__report.md", text), ("OAC__2024_Plan__report_copy.md", text), ("OAC__2024_Plan__report_late.md", text.replace("lazy", "sleepy"))]
+    found = {(r["a"], r["b"]) for r in canonical.duplicate_pairs(spark.createDataFrame(files, "filename string, content string")).collect()}
+    assert found == {(files[1][0], files[2][0]), (files[1][0], files[3][0])}
+
+
+def test_subsequences_bound_the_ratio():
+    import random
+
+    from archivelens.functions.similarity import block_ratio, subsequence_ratio
+
+    rng = random.Random(6)
+    for _ in range(200):
+        a, b = ("".join(rng.choice("ab c") for _ in range(rng.randint(0, 40))) for _ in range(2))
+        assert subsequence_ratio(a, b) >= block_ratio(a, b) - 1e-12
+
+
 def test_ratio_is_the_standard_one():
     import random
 
