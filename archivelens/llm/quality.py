@@ -3,8 +3,11 @@
 Each rule looks at a few measures of a text and votes good (+1), bad (-1) or abstains (0).  How often
 each rule is right isn't known; it is estimated from how the rules agree over all documents
 (Dawid and Skene's model with two classes).  The posterior probability of "good" then decides,
-instead of asking that every rule passes.  The corpus is reduced to counts of vote patterns, of which
-there are at most 3 to the power of the number of rules, whatever its size; only they reach the driver.
+instead of asking that every rule passes: a rule that often votes bad where no other does is learnt
+to be noisy and outvoted, and several weak votes together can reject.  That needs rules that look at
+one fault from different sides, as agreement is all there is to learn from.  The corpus is reduced to
+counts of vote patterns, of which there are at most 3 to the power of the number of rules, whatever its
+size; only they reach the driver.
 """
 
 from __future__ import annotations
@@ -21,11 +24,17 @@ from pyspark.sql import functions as F
 from . import texts as T
 from .storage import keep
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letter_words")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letter_words", "n_letters", "n_marks")
 _TYPE = "struct<" + ",".join(f"{m}:bigint" for m in MEASURES) + ">"
 
 #: The characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
+#: Marks that end or part sentences.
+MARKS = ".,;:!?"
+
+#: Bytes that count as letters: those of ASCII, and the first of each longer character but the Latin signs (0xC2) and general punctuation (0xE2).
+_LETTER = np.zeros(256, bool)
+_LETTER[[c for c in range(256) if (c < 128 and chr(c).isalpha()) or (c >= 0xC3 and c != 0xE2)]] = True
 
 MIN_WORDS = 50
 
@@ -76,12 +85,13 @@ def _dup_lines(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def measure(texts: pa.Array) -> pa.StructArray:
     """:data:`MEASURES` of each text of a slice."""
     data, starts = T.utf8(texts)
-    symbol = np.zeros(256, bool)
+    symbol, mark = np.zeros(256, bool), np.zeros(256, bool)
     symbol[list(SYMBOLS.encode())] = True
+    mark[list(MARKS.encode())] = True
     n, repeated, lettered = _repeated(texts)
     dup, lines = _dup_lines(texts)
     chars = T.sums(~T.SPACE[data] & ((data & 0xC0) != 0x80), starts)
-    columns = (n, chars, T.sums(symbol[data], starts), dup, repeated, lines, lettered)
+    columns = (n, chars, T.sums(symbol[data], starts), dup, repeated, lines, lettered, T.sums(_LETTER[data], starts), T.sums(mark[data], starts))
     return pa.StructArray.from_arrays([pa.array(np.asarray(x, np.int64)) for x in columns], list(MEASURES))
 
 
@@ -115,13 +125,16 @@ class Rule:
 
 
 _TOP = float("inf")
+#: Some look at one fault from different sides (signs in place of letters, repetition), some are often wrong by themselves.
 RULES = (
-    Rule("length", "n_words", None, (50, _TOP), (20, _TOP)),
+    Rule("length", "n_words", None, (100, _TOP), (60, _TOP)),
     Rule("word_length", "word_chars", "n_words", (3, 10), (2.5, 14)),
     Rule("symbols", "n_symbols", "n_words", (0, 0.02), (0, 0.1)),
-    Rule("duplicate_lines", "n_dup_lines", "n_lines", (0, 0.1), (0, 0.5)),
-    Rule("repeated_words", "n_repeat_words", "n_words", (0, 0.15), (0, 0.45)),
-    Rule("letters", "n_letter_words", "n_words", (0.9, 1), (0.7, 1)),
+    Rule("letter_share", "n_letters", "word_chars", (0.92, 1), (0.9, 1)),
+    Rule("lettered_words", "n_letter_words", "n_words", (0.9, 1), (0.7, 1)),
+    Rule("duplicate_lines", "n_dup_lines", "n_lines", (0, 0.1), (0, 0.3)),
+    Rule("repeated_words", "n_repeat_words", "n_words", (0, 0.1), (0, 0.25)),
+    Rule("punctuation", "n_marks", "n_words", (0.05, 0.25), (0.02, 0.5)),
 )
 
 
@@ -142,21 +155,22 @@ class Model:
     prior: float
 
 
-#: What is held of a rule's votes beforehand: the share of bad votes among those on good and on bad documents,
-#: and the weight of that belief, as a part of all documents.
-BELIEF_GOOD, BELIEF_BAD, BELIEF_WEIGHT = 0.002, 0.5, 0.02
-#: Rules are written to spare good documents: each votes bad on at most so many of them, whatever the fit.
-MOST_FALSE_ALARMS = 0.002
+#: A weak belief that only settles which class is which and keeps rates off 0 and 1: the share of good documents,
+#: the share of bad votes among a rule's votes on good and on bad documents, and its weight, as a part of all documents.
+BELIEF_PRIOR, BELIEF_GOOD, BELIEF_BAD, BELIEF_WEIGHT = 0.9, 0.02, 0.5, 0.002
+#: Where expectation-maximisation starts: the posterior of "good" with no, one, or more bad votes.
+START = (0.99, 0.5, 0.02)
 
 
-def fit(counts: dict[int, int], rules: tuple[Rule, ...] = RULES, steps: int = 100) -> Model:
+def fit(counts: dict[int, int], rules: tuple[Rule, ...] = RULES, steps: int = 200) -> Model:
     """Expectation-maximisation over counts of vote patterns.
 
-    Each rule has a rate of voting bad in either class, so a rule that is seldom wrong when it votes
-    bad outweighs many that only look at other faults; abstaining says nothing.  It starts from "one
-    bad vote is probably right" and takes ``steps`` steps in ascending order of patterns, so equal
-    counts give equal results, and counts in proportion equal ones too.  The share of good documents
-    is held between .5 and .99.
+    Each rule has a rate of voting bad in either class, both estimated freely but for a weak belief, so a
+    rule that is seldom wrong when it votes bad outweighs many that only look at other faults, and
+    one that is often wrong weighs little; abstaining says nothing.  It starts from "two bad votes are
+    right" and takes ``steps`` steps at most, until no posterior moves, in ascending order of patterns, so
+    equal counts give equal results, and counts in proportion equal ones too.  Without documents the
+    posteriors are those of the start.
     """
     k = len(rules)
     codes = np.arange(3**k)
@@ -164,17 +178,18 @@ def fit(counts: dict[int, int], rules: tuple[Rule, ...] = RULES, steps: int = 10
     seen = np.array([counts.get(int(c), 0) for c in codes], float)
     seen /= max(seen.sum(), 1)
     no, yes = votes == -1, votes == 1
-    post = np.where(no.any(1), 0.05, 0.95)
-    prior, right = 0.9, np.full(k, 0.5)
+    post = np.array(START)[np.minimum(no.sum(1), 2)]
+    prior, right = BELIEF_PRIOR, np.full(k, 0.5)
     for _ in range(steps if seen.any() else 0):
         good, bad = seen * post, seen * (1 - post)
-        prior = float(np.clip(good.sum(), 0.5, 0.99))
+        prior = float((good.sum() + BELIEF_WEIGHT * BELIEF_PRIOR) / (1 + BELIEF_WEIGHT))
         alarm_good = (good @ no + BELIEF_WEIGHT * BELIEF_GOOD) / (good @ (no | yes) + BELIEF_WEIGHT)
-        alarm_good = np.minimum(alarm_good, MOST_FALSE_ALARMS)
         alarm_bad = (bad @ no + BELIEF_WEIGHT * BELIEF_BAD) / (bad @ (no | yes) + BELIEF_WEIGHT)
         odds = np.log(prior / (1 - prior)) + no @ np.log(alarm_good / alarm_bad) + yes @ np.log((1 - alarm_good) / (1 - alarm_bad))
-        post = 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
+        before, post = post, 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
         right = (good @ yes + bad @ no + BELIEF_WEIGHT) / (seen @ (no | yes) + BELIEF_WEIGHT)
+        if np.abs(post - before).max() < 1e-10:
+            break
     return Model([float(x) for x in np.round(post, 9)], {r.name: float(a) for r, a in zip(rules, right, strict=True)}, prior)
 
 
@@ -195,9 +210,10 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """One row for each document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept and posterior.
 
-    Texts are measured once; the small table of measures is kept in the shared folder, since the fit
-    needs all of it before the first decision.  A null text counts as empty and fails; equal texts
-    get equal rows; other columns of ``docs`` are ignored; an empty table gives an empty result.
+    Whole texts of any length are measured, once; the small table of measures is kept in the shared
+    folder, since the fit needs all of it before the first decision.  A null text counts as empty and
+    fails; equal texts get equal rows, repeated rows and null ids as many as they are; other columns of
+    ``docs`` are ignored; an empty table gives an empty result.
     """
     found = keep(docs.select(docs[id_col].alias("doc_id"), measures(docs[text_col]).alias("m")), "quality")
     m = found["m"]
@@ -206,11 +222,19 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def quality_filter(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents that :func:`quality` keeps, with their columns; texts are measured twice, but never shuffled."""
-    model = fit_counts(docs.select(measures(docs[text_col]).alias("m")).select(pattern(F.col("m")).alias("pattern")))
-    name = free_name(docs)
-    m = F.col(name)
-    return docs.withColumn(name, measures(docs[text_col])).filter(~base_failed(m) & (posterior(m, model) >= 0.5)).select(*(docs[f"`{c}`"] for c in docs.columns))
+    """The documents that :func:`quality` keeps, with their columns, whatever their names.
+
+    Texts are measured once and never shuffled: they are kept next to their vote patterns until the fit is
+    known.  Null and empty texts go; repeated rows share their decision and stay as often as they
+    are; an empty table gives an empty result.
+    """
+    own = free_name(docs)
+    m = F.col("m")
+    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias(own), measures(docs[text_col]).alias("m"))
+    found = keep(rows.select(own, base_failed(m).alias("failed"), pattern(m).alias("pattern")), "quality")
+    model = fit_counts(found.select("pattern"))
+    good = found.filter(~F.col("failed") & (F.element_at(F.lit(model.posterior), F.col("pattern") + 1) >= 0.5))
+    return good.select(*(F.col(own)[c].alias(c) for c in docs.columns))
 
 
 def free_name(docs: DataFrame, stem: str = "_al") -> str:
