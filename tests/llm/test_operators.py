@@ -449,7 +449,7 @@ def test_chances_differ_and_are_met(spark):
     sizes = [20 + 9 * i for i in range(60)]
     d = spark.range(36_000).selectExpr("id as doc_id", "repeat('w ', cast(20 + 9 * (id % 60) as int)) as text", "format_string('s%03d', id div 1200) as source")
     found = mixing.mix(d, "one").join(d.select("doc_id", "source"), "doc_id").toPandas()
-    assert (found.groupby("source")["taken"].sum() - found.groupby("source")["target"].first()).abs().max() < 60
+    assert (found.groupby("source")["taken"].sum() / found.groupby("source")["target"].first() - 1).abs().max() < 0.001
     total = 20 * sum(sizes)
     for weight in (1, 2, 3):
         own = found[found["source"].str[1:].astype(int) % 3 == weight - 1]
