@@ -5,9 +5,12 @@ with a template of n bigrams asks for n * T / (2 - T) to n * (2 - T) / T bigrams
 sizes rule most pairs out.  What is left must share bigrams: the passages' bigrams are looked up in the
 templates' table, which is of fixed size and broadcast, and the shared ones are counted.
 
-What no such passage covers is compared by windows: of each template's number of words, from every
+Any passage or window of T has one of each template's rarest bigrams, so whole texts are first searched for
+those; the few that have one are kept, and only they are cut into passages.
+
+What no passage covers is compared by windows: of each template's number of words, from every
 bigram the template has to the last one it has, over ends of sentences, lines and paragraphs.  For
-them, the paragraphs of licences and further licence texts are templates as well.  A window of T shares
+them, the paragraphs of licences, further licence texts and the openings of the long ones are templates as well.  A window of T shares
 n * T / (2 - T) of the template's bigrams at least, so it has one of any set of all but so many less one;
 texts with none of the rarest of them are left out, without loss.
 """
@@ -44,6 +47,8 @@ NAMES = {
 }
 #: How notices name a licence.
 NOTICES = ["licensed under the {}", "licensed under {}", "released under the {}", "this work is licensed under the {}", "this program is distributed under the terms of the {}"]
+#: Fixed value: the tag that names a licence by its public identifier.
+TAG = "SPDX-License-Identifier: {}"
 #: Texts of public licences.
 TEXTS = {
     "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
@@ -82,6 +87,18 @@ BLOCKS = {
     "MIT": re.sub(r"(The above copyright|THE SOFTWARE IS PROVIDED)", r"\n\n\1", TEXTS["MIT"]),
     "MPL-2.0": re.sub(r"(If a copy)", r"\n\n\1", TEXTS["MPL-2.0"]),
 }
+#: How the full texts of long licences begin; by these the full texts are known.
+OPENINGS = {
+    "AGPL-3.0": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free Software Foundation, Inc.",
+    "Apache-2.0": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+    "CC-BY-4.0": "By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this Creative Commons Attribution 4.0 International Public License",
+    "CC-BY-NC-4.0": "By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this Creative Commons Attribution-NonCommercial 4.0 International Public License",
+    "CC-BY-SA-4.0": "By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this Creative Commons Attribution-ShareAlike 4.0 International Public License",
+    "GPL-2.0": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc.",
+    "GPL-3.0": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc.",
+    "LGPL-3.0": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc.",
+    "MPL-2.0": "Mozilla Public License Version 2.0 1. Definitions 1.1. \"Contributor\" means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software.",
+}
 
 
 def templates() -> list[tuple[str, list[str]]]:
@@ -91,6 +108,7 @@ def templates() -> list[tuple[str, list[str]]]:
         for name in names:
             for notice in NOTICES:
                 found.setdefault(" ".join(_words(notice.format(name))), licence)
+        found.setdefault(" ".join(_words(TAG.format(licence))), licence)
     for licence, text in TEXTS.items():
         found.setdefault(" ".join(_words(text)), licence)
     return [(licence, text.split(" ")) for text, licence in found.items()]
@@ -104,6 +122,8 @@ def window_templates() -> list[tuple[str, list[str]]]:
             words = _words(part)
             if len(words) >= LEAST_PARAGRAPH:
                 found.setdefault(" ".join(words), licence)
+    for licence, text in OPENINGS.items():
+        found.setdefault(" ".join(_words(text)), licence)
     return [(licence, text.split(" ")) for text, licence in found.items()]
 
 
@@ -162,6 +182,19 @@ def _spans(parts: Column) -> Column:
     return F.aggregate(sized, start, step, lambda acc: acc["out"])
 
 
+def _with_rare(docs: DataFrame, all_rare: list[str]) -> DataFrame:
+    """doc_id and text of the documents that have one of some bigrams; most have none of their words, so bigrams needn't be made."""
+    text = F.col("text")
+    rare_words = sorted({max(p.split(" "), key=len) for p in all_rare})
+    return docs.select("doc_id", "text").filter(F.arrays_overlap(F.split(F.lower(text), "[^a-z0-9]+"), F.lit(rare_words)) & F.arrays_overlap(_pairs(normal_words(text)), F.lit(all_rare)))
+
+
+def candidates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """A kept table, doc_id and text, of the documents in which any template, of passages or of windows, can match."""
+    rarest = _rarest([_bigrams(words) for _, words in window_templates()], threshold)
+    return keep(_with_rare(docs, sorted({p for r in rarest for p in r})), "licenses")
+
+
 def windows(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Windows that match: doc_id, start and stop (words), licence, shared, dice, and ``over``, the hashes of the passages they meet."""
     spark = docs.sparkSession
@@ -170,10 +203,8 @@ def windows(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     table = F.broadcast(spark.createDataFrame(rows, "template int, licence string, t_words int, t_size int, needed int, id int, pair string"))  # some thousand rows, fixed by the templates
     rarest = _rarest([s[3] for s in sets], threshold)
     all_rare = sorted({p for r in rarest for p in r})
-    rare_words = sorted({max(p.split(" "), key=len) for p in all_rare})
     text = F.col("text")
-    # most texts have none of the words, so their bigrams needn't be made
-    some = docs.select("doc_id", "text").filter(F.arrays_overlap(F.split(F.lower(text), "[^a-z0-9]+"), F.lit(rare_words)) & F.arrays_overlap(_pairs(normal_words(text)), F.lit(all_rare)))
+    some = _with_rare(docs, all_rare)
     may = lambda has: F.array_compact(F.array(*(F.when(F.arrays_overlap(has, F.lit(r)), i) for i, r in enumerate(rarest))))
     # bound as a lambda's variable, the shared pairs are found once a text; kept, the list isn't made again for each pair
     has = F.array(F.array_intersect(_pairs(normal_words(text)), F.lit(all_rare)))
@@ -198,29 +229,30 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     The best match counts; of equal ones, the first licence by name.  Windows that meet a matching passage
     are left out; of the others, the one that shares most counts, if its Dice coefficient is higher than
-    that of the best passage, and windows that overlap are one passage.  A null text has no passage;
-    rows of one id count as one document whose passages are those of all rows; other columns of
-    ``docs`` are ignored; an empty table gives an empty result.
+    that of the best passage, and windows that overlap are one passage.  Whole texts of any length are
+    scanned; a null or empty text has no passage; rows of one id, null too, count as one document whose
+    passages are those of all rows; other columns of ``docs`` are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     rows = [(i, licence, len(b), *size_bounds(len(b), threshold), p) for i, (licence, words) in enumerate(templates()) for b in [_bigrams(words)] for p in b]
     table = F.broadcast(spark.createDataFrame(rows, "template int, licence string, t_size int, low int, high int, pair string"))  # some thousand rows, fixed by the templates
     least, most = min(r[3] for r in rows), max(r[4] for r in rows)
-    parts = docs.select("doc_id", F.explode_outer(passages(docs["text"])).alias("passage"))
-    words = parts.select("doc_id", "passage", normal_words(F.col("passage")).alias("w"))
+    some = candidates(docs, threshold)
+    words = some.select("doc_id", F.explode(passages(some["text"])).alias("passage")).select("doc_id", "passage", normal_words(F.col("passage")).alias("w"))
     # a passage of few words has fewer bigrams; one of very many may repeat a few, so only the lower bound can be used on words
-    sized = words.select("doc_id", "passage", F.when(F.size("w") > least, bigrams(F.col("w"))).alias("b"))
-    fit = sized.select("doc_id", "passage", F.size("b").alias("n"), F.when(F.size("b").between(least, most), F.col("b")).alias("b"))
-    # each document's first row has no pair, so that documents without a match stay
-    pairs = fit.select("doc_id", F.xxhash64("passage").alias("p"), "n", F.explode(F.concat(F.array(F.lit(None).cast("string")), F.coalesce("b", F.array().cast("array<string>")))).alias("pair_"))
-    hits = pairs.join(table, (F.col("pair_") == F.col("pair")) & F.col("n").between(F.col("low"), F.col("high")), "left")
-    shared = hits.filter("pair is not null or pair_ is null").groupBy("doc_id", "p", "template", "licence", "t_size", "n").agg(F.count("pair").alias("shared"))
-    dice = shared.withColumn("dice", F.when(F.col("template").isNotNull(), 2 * F.col("shared") / (F.col("n") + F.col("t_size"))))
+    sized = words.filter(F.size("w") > least).select("doc_id", "passage", bigrams(F.col("w")).alias("b"))
+    pairs = sized.filter(F.size("b").between(least, most)).select("doc_id", F.xxhash64("passage").alias("p"), F.size("b").alias("n"), F.explode("b").alias("pair_"))
+    hits = pairs.join(table, (F.col("pair_") == F.col("pair")) & F.col("n").between(F.col("low"), F.col("high")))
+    shared = hits.groupBy("doc_id", "p", "template", "licence", "t_size", "n").agg(F.count("pair").alias("shared"))
+    dice = shared.withColumn("dice", 2 * F.col("shared") / (F.col("n") + F.col("t_size")))
     good = F.col("dice") >= threshold
     best = F.min(F.when(good, F.struct((-F.col("dice")).alias("d"), "licence"))).alias("best")
-    found = dice.groupBy("doc_id").agg(best, F.collect_set(F.when(good, F.col("licence"))).alias("licences"), F.collect_set(F.when(good, F.col("p"))).alias("ps"))
-    w = windows(docs, threshold).groupBy(F.col("doc_id").alias("id")).agg(F.sort_array(F.collect_set(F.struct("k", "start", "stop", "licence", "shared", "dice", "over"))).alias("w"))
-    all_ = found.join(w, F.col("doc_id").eqNullSafe(F.col("id")), "left").withColumn("w", F.filter(F.coalesce("w", F.array().cast(w.schema["w"].dataType)), lambda x: ~F.arrays_overlap(x["over"], "ps")))
+    found = dice.groupBy(F.col("doc_id").alias("f_id")).agg(best, F.collect_set(F.when(good, F.col("licence"))).alias("licences"), F.collect_set(F.when(good, F.col("p"))).alias("ps"))
+    w = windows(some, threshold).groupBy(F.col("doc_id").alias("id")).agg(F.sort_array(F.collect_set(F.struct("k", "start", "stop", "licence", "shared", "dice", "over"))).alias("w"))
+    all_ = docs.select("doc_id").distinct().join(found, F.col("doc_id").eqNullSafe(F.col("f_id")), "left").join(w, F.col("doc_id").eqNullSafe(F.col("id")), "left")
+    for c, kind in (("licences", "array<string>"), ("ps", "array<bigint>"), ("w", w.schema["w"].dataType)):
+        all_ = all_.withColumn(c, F.coalesce(c, F.array().cast(kind)))
+    all_ = all_.withColumn("w", F.filter("w", lambda x: ~F.arrays_overlap(x["over"], "ps")))
     most_shared = F.array_min(F.transform("w", lambda x: F.struct((-x["shared"]).alias("s"), (-x["dice"]).alias("d"), x["licence"].alias("licence"))))
     none = F.struct(F.lit(0).alias("n"), F.lit(None).cast("bigint").alias("k"), F.lit(0).alias("reach"))
     # windows are in order of text and start; one that begins where none before reaches is a new passage

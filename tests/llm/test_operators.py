@@ -218,7 +218,9 @@ def test_licences(spark, odd, none):
     found = {r["doc_id"]: r for r in licenses.scan(d).collect()}
     assert found[1]["license"] == "MIT" and found[1]["dice"] == 1.0 and found[2]["license"] == "ISC"
     assert found[3]["license"] is None and found[4]["license"] is None and found[3]["n_passages"] == 0
-    assert sorted([r["doc_id"] for r in licenses.scan(odd).collect()], key=str) == sorted([1, 2, 3, 4, 5, 6, 7, None], key=str)
+    rows = licenses.scan(odd.withColumn("text", F.when(F.col("doc_id") == 6, F.concat("text", F.lit("\nReleased under the MIT License.\n"))).otherwise(F.col("text")))).collect()
+    assert sorted([r["doc_id"] for r in rows], key=str) == sorted([1, 2, 3, 4, 5, 6, 7, None], key=str)
+    assert {r["doc_id"]: (r["license"], r["dice"], r["n_licenses"], r["n_passages"]) for r in rows} == dict.fromkeys((1, 2, 3, 4, 5, 7, None), (None, None, 0, 0)) | {6: ("MIT", 1.0, 1, 3)}  # the line, its paragraph and the whole
     assert licenses.scan(none).count() == 0
 
 
@@ -236,6 +238,20 @@ def test_licences_inside_longer_texts(spark):
     assert found[9]["n_passages"] == 2 and found[9]["n_licenses"] == 2
 
 
+def test_licence_tags_and_openings(spark):
+    rng = random.Random(8)
+    other = lambda n: " ".join("".join(rng.choices("bdfgklmoprstu", k=6)) for _ in range(n))
+    rows = [(f"tag {x}", x, f"# SPDX-License-Identifier: {x}\n{other(50)}") for x in licenses.NAMES]
+    rows += [(f"tag inside {x}", x, f"{other(20)} // SPDX-License-Identifier: {x} */ {other(50)}") for x in licenses.NAMES]
+    rows += [(f"opening {x}", x, f"{t}\n\n{other(400)}") for x, t in licenses.OPENINGS.items()]
+    rows += [(f"opening inside {x}", x, f"{other(30)} {t} {other(400)}") for x, t in licenses.OPENINGS.items()]
+    rows += [(f"notice inside {x}", x, f"{other(30)} {n.format(names[-1])} {other(30)}") for x, names in licenses.NAMES.items() for n in licenses.NOTICES]
+    rows.append(("none", None, f"this SPDX file has a license and no identifier {other(30)}"))
+    d = spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(rows)], "doc_id bigint, text string")
+    found = {r["doc_id"]: r["license"] for r in licenses.scan(d).collect()}
+    assert [(n, found[i]) for i, (n, _, _) in enumerate(rows)] == [(n, x) for n, x, _ in rows]
+
+
 def test_size_bounds_prune_no_match():
     for n in range(1, 60):
         low, high = licenses.size_bounds(n)
