@@ -36,6 +36,8 @@ SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 32, 5
 #: Buckets of so many nodes at most are settled by all their pairs, larger ones in blocks of about so many nodes.
 SMALL, BLOCK = 32, 512
+#: A key with over one in HOT of all rows of a join is dealt to so many PARTS at most.
+HOT, PARTS = 1000, 256
 
 _R = np.uint64(0x9E3779B97F4A7C15)
 
@@ -192,15 +194,36 @@ def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], ["a", "b"])
 
 
+def hot_keys(rows: DataFrame, key: str) -> DataFrame:
+    """The keys of a kept table that have over one in HOT of its rows, and in how many parts to deal each: h_key, parts.
+
+    There are fewer than HOT of them whatever the input, so the table may be broadcast.
+    """
+    total = rows.count()
+    counts = rows.groupBy(F.col(key).alias("h_key")).agg(F.count("*").alias("c")).filter(F.col("c") * HOT > total)
+    return counts.select("h_key", F.least(F.ceil(F.col("c") * HOT / F.lit(max(total, 1))), F.lit(PARTS)).cast("int").alias("parts"))
+
+
+def spread_join(rows: DataFrame, by: DataFrame, key: str, hot: DataFrame, by_key: str) -> DataFrame:
+    """Inner join of ``rows`` with ``by``, which has a key once: a hot key's rows are dealt to parts, and its row of ``by`` is copied to each."""
+    few = F.broadcast(hot)
+    part = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64(*rows.columns), F.col("parts"))).otherwise(0).cast("int")
+    dealt = rows.join(few, rows[key] == few["h_key"], "left").withColumn("part", part).drop("h_key", "parts")
+    copied = by.join(few, by[by_key] == few["h_key"], "left").withColumn("b_part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("h_key", "parts")
+    return dealt.join(copied, (dealt[key] == copied[by_key]) & (dealt["part"] == copied["b_part"])).drop("part", "b_part")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """The least node that each node of ``edges`` (columns a, b) is connected with: node, comp.
 
-    Labels are taken from neighbours and then from labels' labels, until none changes.
+    Labels are taken from neighbours and then from labels' labels, until none changes.  The many edges of a
+    hub are dealt to several tasks.
     """
     both = keep(edges.select("a", "b").union(edges.select("b", "a")).distinct().toDF("u", "v"), "edges")
+    hubs = keep(hot_keys(both, "v"), "hubs")
     labels = keep(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("comp")), "labels")
     while True:
-        near = both.join(labels, both["v"] == labels["node"]).groupBy("u").agg(F.min("comp").alias("low"))
+        near = spread_join(both, labels, "v", hubs, "node").groupBy("u").agg(F.min("comp").alias("low"))
         step = labels.join(near, labels["node"] == near["u"]).select("node", F.least("comp", "low").alias("comp"), F.col("comp").alias("was"))
         jump = labels.select(F.col("node").alias("j"), F.col("comp").alias("jump"))
         moved = keep(step.join(jump, step["comp"] == jump["j"]).select("node", F.least("comp", "jump").alias("comp"), "was"), "labels")
@@ -253,17 +276,21 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = keep(found.select("n", "text").dropDuplicates(["n"]), "texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        a, b = texts.select(F.col("n").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("n").alias("b"), F.col("text").alias("text_b"))
-        return keep(pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a bigint, b bigint, near boolean"), "verified")
+        pairs = keep(pairs, "pairs")
+        a, b = texts.select(F.col("n").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("n").alias("n_b"), F.col("text").alias("text_b"))
+        # a popular pivot has many pairs, each with the other's text
+        both = spread_join(pairs.join(a, "a").select("a", "b", "text_a"), b, "b", hot_keys(pairs, "b"), "n_b")
+        return keep(both.select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a bigint, b bigint, near boolean"), "verified")
 
     pivot = F.max(F.struct("popular", (-F.col("n")).alias("m"))).alias("pivot")
-    stars = met.join(met.groupBy("key").agg(pivot), "key").select(F.col("n").alias("a"), (-F.col("pivot.m")).alias("b"), "key")
+    large = keep(hot_keys(met, "key"), "large")
+    stars = spread_join(met, met.groupBy(F.col("key").alias("p_key")).agg(pivot), "key", large, "p_key").select(F.col("n").alias("a"), (-F.col("pivot.m")).alias("b"), "key")
     near = verified(_pairs(stars.select("a", "b"))).filter("near").select("a", "b")
 
     comp = components(near)
     labelled = met.join(comp.withColumnRenamed("node", "c_node"), F.col("n") == F.col("c_node"), "left").select("key", "n", "size", F.coalesce("comp", "n").alias("comp"))
     apart = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
-    still = keep(labelled.join(apart, "key"), "apart")
+    still = keep(spread_join(labelled, apart.select(F.col("key").alias("a_key")), "key", large, "a_key").drop("a_key"), "apart")
     few = still.filter(F.col("size") <= SMALL)
     other = few.select("key", F.col("n").alias("b"), F.col("comp").alias("comp_b"))
     more = _pairs(few.join(other, "key").filter("comp <> comp_b and n < b").select(F.col("n").alias("a"), "b"))
