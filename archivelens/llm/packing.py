@@ -17,6 +17,9 @@ SEQUENCE = 2048
 END_ID = 1
 #: The curve runs through a cube of DIMS dimensions, with 2 ** BITS cells along each.
 DIMS, BITS = 3, 16
+UNIT = 1 << 20
+#: Ranges of the curve hold about so many ids.
+RANGE_IDS = 1 << 23
 
 
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
@@ -49,15 +52,15 @@ def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
 
 
 def directions(size: int, dims: int = DIMS) -> np.ndarray:
-    """For each id a hashed vector of mean 0 and variance 1."""
+    """For each id a hashed vector of mean 0 and variance 1, in whole numbers of one in UNIT, so that sums are exact."""
     h = T.mix(np.arange(1, size * dims + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return ((h >> np.uint64(11)).astype(np.float64) / 2**53 - 0.5).reshape(size, dims) * 12**0.5
+    return np.round(((h >> np.uint64(11)).astype(np.float64) / 2**53 - 0.5).reshape(size, dims) * 12**0.5 * UNIT).astype(np.int64)
 
 
 def curve_keys(ids: np.ndarray, starts: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Hilbert keys of documents: the mean of their ids' vectors, each coordinate squashed to a cell. Empty ones lie at the middle."""
     n = np.maximum(np.diff(starts), 1)[:, None]
-    mean = np.stack([(run := np.concatenate([[0.0], np.cumsum(table[ids, d])]))[starts[1:]] - run[starts[:-1]] for d in range(table.shape[1])], 1) / n
+    mean = np.stack([T.sums(table[ids, d], starts) for d in range(table.shape[1])], 1) / (n * float(UNIT))
     cells = np.floor((np.arctan(mean * 6) / np.pi + 0.5) * (1 << BITS)).astype(np.int64)
     return hilbert(np.clip(cells, 0, (1 << BITS) - 1), BITS)
 
@@ -75,8 +78,7 @@ def _encoded(path: str, end_id: int):
             at = 0
             for text in T.slices(b.column("text"), T.LARGE_SLICE):
                 ids, starts = memo.encode(text)
-                # sums are taken from the start of each slice of some hundred texts, so equal texts differ by rounding only
-                keys = np.concatenate([_rounded_keys(ids, starts, i, min(i + 256, len(text)), table) for i in range(0, len(text), 256)])
+                keys = np.concatenate([_part_keys(ids, starts, i, min(i + 256, len(text)), table) for i in range(0, len(text), 256)])
                 n = np.diff(starts) + 1
                 every = np.full(len(ids) + len(text), end_id, kind)
                 own = np.ones(len(every), bool)
@@ -90,7 +92,8 @@ def _encoded(path: str, end_id: int):
     return run
 
 
-def _rounded_keys(ids: np.ndarray, starts: np.ndarray, a: int, b: int, table: np.ndarray) -> np.ndarray:
+def _part_keys(ids: np.ndarray, starts: np.ndarray, a: int, b: int, table: np.ndarray) -> np.ndarray:
+    """The keys of some hundred texts, which bounds the memory of their ids' vectors."""
     own = ids[starts[a] : starts[b]]
     return curve_keys(own, starts[a : b + 1] - starts[a], table)
 
@@ -159,14 +162,16 @@ def pack(docs: DataFrame, path: str, size: int = SEQUENCE, end_id: int = END_ID)
 
     Columns: doc_id, start, ids (little-endian 32-bit), doc_tokens, sequence_id, offset.  Documents
     are encoded once; the kept table is sorted by ranges of the Hilbert key, ties by doc_id, so that
-    a large group of equal documents spans many tasks.  Within a task all ids lie on end and are cut
+    a large group of equal documents spans many tasks; there are as many ranges as keep them at about RANGE_IDS ids,
+    so tasks don't grow with the input.  Equal texts have equal keys.  Within a task all ids lie on end and are cut
     at each ``size``; the rest of a task makes sequences whose lengths are powers of two, so nothing
     is padded if ``size`` is one.  A null text is the end id alone; repeated rows are packed as
-    often as they come; other columns of ``docs`` are ignored; an empty table gives no piece.
+    often as they come, a very long text is cut over many sequences; other columns of ``docs`` are ignored; an empty table gives no piece.
     """
     encoded = keep(docs.select("doc_id", "text").mapInArrow(_encoded(path, end_id), _ENCODED), "encoded")
     order = ("key", "doc_id", "n")
-    return encoded.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_pieces(size), _PIECES)
+    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(encoded.agg(F.sum("n")).first()[0] or 0) // RANGE_IDS))
+    return encoded.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(_pieces(size), _PIECES)
 
 
 def digests(pieces: DataFrame) -> DataFrame:
