@@ -16,7 +16,8 @@ from .quality import free_name
 
 #: N-grams of two and three bytes of lower-case words are counted in so many hashed places each.
 PLACES = 2048
-#: About so many labelled documents of each language train the centroids, all languages together at most 4096; drawn by a hash of their ids.
+#: About so many labelled documents of each language train the centroids, about 4096 of all languages together, and never over
+#: twice as many; drawn by a hash of id and text. Beyond so many languages the most frequent are learned.
 SAMPLE = 512
 SAMPLE_TOTAL = 4096
 CENTROIDS = 3
@@ -98,25 +99,30 @@ def train(rows: list[tuple[str, np.ndarray]], centroids: int = CENTROIDS) -> Mod
 def fit(labelled: DataFrame, sample: int = SAMPLE, total: int = SAMPLE_TOTAL) -> Model | None:
     """Train on the columns doc_id, text and lang; rows without a language are no use.
 
-    Languages are counted over all rows; then about ``sample`` rows of each are drawn by a hash of
-    doc_id, and their n-gram counts, of fixed size, reach the driver.
+    Different rows of each language are counted over all rows; then about ``sample`` of each are drawn by a hash
+    of doc_id and text, and their n-gram counts, of fixed size, reach the driver.  Rows that repeat both are one, so
+    neither null ids nor copies can swell the sample, and twice ``total`` rows are the most in any case.
     """
     labelled = labelled.select("doc_id", "text", "lang").filter("lang is not null and text is not null")
-    seen = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    own = F.xxhash64(F.lit("language sample"), "doc_id", "text")
+    labelled = labelled.withColumn("h", own)
+    by = labelled.groupBy("lang").agg(F.count("*").alias("rows"), F.approx_count_distinct("h").alias("n"))
+    seen = {r["lang"]: max(1, r["n"]) for r in by.orderBy(F.desc("rows"), "lang").limit(total).collect()}
     if not seen:
         return None
     share = min(sample, max(1, total // len(seen)))
     rate = F.element_at(F.create_map(*(F.lit(v) for k, n in sorted(seen.items()) for v in (k, min(1.0, share / n)))), F.col("lang"))
-    drawn = labelled.filter(F.pmod(F.xxhash64(F.lit("language sample"), "doc_id"), F.lit(1 << 20)) < rate * (1 << 20))
+    drawn = labelled.filter(F.pmod("h", F.lit(1 << 40)) < F.coalesce(rate, F.lit(0.0)) * (1 << 40))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, part in enumerate(T.slices(b.column("text"), 1)):
                 row = np.minimum(next(vectors(part))[0], 65535).astype("<u2").tobytes()
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, 1), b.column("lang").slice(i, 1), pa.array([row], pa.binary())], ["doc_id", "lang", "v"])
+                yield pa.RecordBatch.from_arrays([b.column("h").slice(i, 1), b.column("lang").slice(i, 1), pa.array([row], pa.binary())], ["h", "lang", "v"])
 
-    rows = drawn.mapInArrow(counted, "doc_id bigint, lang string, v binary").collect()
-    rows.sort(key=lambda r: (r["lang"], r["doc_id"] is None, r["doc_id"], bytes(r["v"])))
+    sample_of = drawn.mapInArrow(counted, "h bigint, lang string, v binary").dropDuplicates(["h", "lang"])
+    rows = sample_of.orderBy("h", "lang").limit(2 * total).collect()
+    rows.sort(key=lambda r: (r["lang"], r["h"]))
     return train([(r["lang"], np.frombuffer(r["v"], "<u2").astype(np.float32)) for r in rows])
 
 

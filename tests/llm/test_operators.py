@@ -372,6 +372,16 @@ def test_hilbert_curve_has_no_jumps():
     assert sorted(place) == list(range(512)) and (np.abs(np.diff(grid[np.argsort(place)], axis=0)).sum(1) == 1).all()
 
 
+def test_neighbours_along_the_curve_are_alike(spark, sf):
+    """Documents next to each other on the curve share their language more often than chance has it; equal texts have one key."""
+    d = spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    rows = d.select("doc_id", "text").mapInArrow(packing._encoded(BYTES, 1), packing._ENCODED).join(d.select("doc_id", "lang", F.md5("text").alias("h")), "doc_id").orderBy("key", "doc_id").toPandas()
+    lang = rows["lang"].to_numpy()
+    alike, chance = (lang[1:] == lang[:-1]).mean(), (rows["lang"].value_counts(normalize=True) ** 2).sum()
+    assert alike > chance + 0.25
+    assert (rows.groupby("h")["key"].nunique() == 1).all()
+
+
 def test_packing_of_odd_rows(odd, none):
     tok = tokens.load(BYTES)
     pieces = packing.pack(odd, BYTES).toPandas()
@@ -414,6 +424,45 @@ def test_held_out_accuracy(spark, sf):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in found.collect())
 
 
+def test_copies_do_not_swell_the_sample(spark):
+    same = spark.range(5000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("the same text for every row").alias("text"), F.lit("en").alias("lang"))
+    other = spark.range(40).select("id", F.concat(F.lit("ein anderer satz nummer "), F.col("id").cast("string")).alias("text"), F.lit("de").alias("lang")).toDF("doc_id", "text", "lang")
+    model = language.fit(same.union(other), sample=10_000)
+    found = other.union(same.limit(3)).select("lang", language.predict(F.col("text"), model).alias("p")).collect()
+    assert all(r["lang"] == r["p"]["lang"] for r in found) and model.langs.count("en") == 1
+
+
+def brute_centroid(text, model):
+    """The language and cosine of a text, n-gram by n-gram."""
+    import math
+
+    data = [c if c >= 128 or chr(c).isalpha() else 32 for c in text.lower().encode()]
+    counts = Counter()
+    for n, base in ((2, 0), (3, language.PLACES)):
+        for i in range(len(data) - n + 1):
+            if data[i] == 32 and data[i + 1] == 32:
+                continue
+            h = 0
+            for c in data[i : i + n]:
+                h = (h * 0x01000193 + c) % 2**32
+            counts[base + (h * 0x9E3779B1 % 2**32 >> 21)] += 1
+    weights = {k: math.log1p(v) * float(model.idf[k]) for k, v in counts.items()}
+    norm = math.sqrt(sum(v * v for v in weights.values())) or 1.0
+    cosines = [sum(v / norm * float(c[k]) for k, v in weights.items()) for c in model.centroids]
+    best = max(range(len(cosines)), key=lambda j: (cosines[j], -j))
+    return model.langs[best], cosines[best], cosines[best] < model.floors[best]
+
+
+def test_predictions_equal_brute_force(spark, sf):
+    d = spark.read.parquet(f"{sf}/documents.parquet")
+    model = language.fit(d.filter(~language.held_out(d["doc_id"])))
+    for r in d.select("text", language.predict(d["text"], model).alias("p")).limit(60).collect():
+        if r["p"]["lang"] == language.UNKNOWN:
+            continue
+        lang, cosine, rejected = brute_centroid(r["text"], model)
+        assert r["p"]["lang"] == lang and abs(r["p"]["score"] - min(1, max(0, cosine))) < 1e-4 and r["p"]["rejected"] == rejected
+
+
 def test_language_of_odd_rows(odd, none):
     rows = language.identify(odd).collect()
     assert len(rows) == odd.count() and {r["lang_pred"] for r in rows if r["doc_id"] in (2, 3, 5)} == {"und"}
