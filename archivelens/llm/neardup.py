@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import texts as T
 from .quality import free_name
-from .storage import keep
+from .storage import discard, keep
 
 SHINGLE, SIMILAR = 5, 0.8
 #: With 32 bands of 5 registers, a pair of similarity .8 shares none with a probability of 3e-6.
@@ -227,7 +227,9 @@ def components(edges: DataFrame) -> DataFrame:
         step = labels.join(near, labels["node"] == near["u"]).select("node", F.least("comp", "low").alias("comp"), F.col("comp").alias("was"))
         jump = labels.select(F.col("node").alias("j"), F.col("comp").alias("jump"))
         moved = keep(step.join(jump, step["comp"] == jump["j"]).select("node", F.least("comp", "jump").alias("comp"), "was"), "labels")
+        discard(labels)
         if moved.filter("comp <> was").isEmpty():
+            discard(both)
             return moved.select("node", "comp")
         labels = moved.select("node", "comp")
 

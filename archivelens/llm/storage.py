@@ -13,10 +13,12 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where it is unset, as in tests."""
+    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where it is unset on one machine, as in tests."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = tempfile.mkdtemp(prefix="archivelens-")
@@ -40,7 +42,19 @@ def keep(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(kept: DataFrame) -> None:
+    """Delete a kept table that no later step reads."""
+    spark = kept.sparkSession
+    mine = f"/archivelens-{spark.sparkContext.applicationId}/"
+    for path in {f.rsplit("/", 1)[0] for f in kept.inputFiles() if mine in f}:
+        _delete(spark, path)
+
+
 def release(spark: SparkSession) -> None:
     """Delete every table that this application has kept."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/archivelens-{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{shared_dir(spark)}/archivelens-{spark.sparkContext.applicationId}")
