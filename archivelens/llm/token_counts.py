@@ -14,8 +14,8 @@ from . import texts as T
 from . import tokens as K
 
 #: Texts of more characters are encoded in overlapping chunks.
-CHUNK_CHARS = 8_192
-OVERLAP_CHARS = 512
+CHUNK_CHARS = 4_096
+OVERLAP_CHARS = 256
 
 COUNTS = "struct<n_tokens:bigint,n_chunks:int,n_widened:int>"
 
