@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import frontmatter as FM
 from ..functions import similarity as S
 from ..functions import text as X
+from .graphs import checkpointed
 
 #: What the checks look for unless they are told otherwise.
 CONFIG: dict = {
@@ -130,14 +131,32 @@ def near_candidates(a: DataFrame, c: dict = CONFIG) -> DataFrame:
     """Pairs worth comparing: bags of words in one band of sizes or the next, lengths and words alike.
 
     Columns first and second keep the order of comparison: by name within a band, else the lower band first.
+    Equal bags of one length are one; others meet by words: of two bags that share k words, each has one of them among
+    its first n - k + 1 in order of rarity, so the most frequent words are no keys.  Only ids and sizes meet; bags
+    are fetched for the pairs that are left.
     """
-    d = a.select("article", F.length("body").alias("n"), word_bag(F.col("body")).alias("bag")).withColumn("band", F.floor(F.size("bag") / c["band"])).filter("size(bag) > 0")
-    left = d.select(F.col("article").alias("first"), F.col("n").alias("n1"), F.col("bag").alias("bag1"), F.col("band").alias("band1"), F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
-    right = d.select(F.col("article").alias("second"), F.col("n").alias("n2"), F.col("bag").alias("bag2"), "band")
-    both = left.join(right, "band").filter((F.col("band") > F.col("band1")) | (F.col("first") < F.col("second")))
-    both = both.filter(F.least("n1", "n2") >= 0.5 * F.greatest("n1", "n2"))
-    shared = F.size(F.array_intersect("bag1", "bag2"))
-    return both.filter(shared >= c["word_overlap"] * F.least(F.size("bag1"), F.size("bag2"))).select("first", "second")
+    d = a.select("article", F.length("body").alias("n"), F.array_sort(word_bag(F.col("body"))).alias("bag")).filter("size(bag) > 0")
+    d = checkpointed(d.withColumn("g", F.xxhash64("n", "bag")))
+    # one article stands for all of one length and bag
+    reps = checkpointed(d.groupBy("g").agg(F.first("n").alias("n"), F.first("bag").alias("bag")).withColumns({"size": F.size("bag"), "band": F.floor(F.size("bag") / c["band"])}))
+    seen = reps.select(F.explode("bag").alias("w")).groupBy("w").agg(F.count("*").alias("df"))
+    ranked = reps.select("g", "size", "band", "n", F.explode("bag").alias("w")).join(seen, "w").groupBy("g", "size", "band", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "w"))), lambda x: x["w"]).alias("r"))
+    # the smaller bag of a pair has no fewer words than this one's, or than the band below begins with
+    fewest = F.greatest(F.lit(1), F.least("size", (F.col("band") - 1) * c["band"]))
+    needed = F.greatest(F.lit(1), F.ceil(F.round(c["word_overlap"] * fewest, 9))).cast("int")
+    keys = checkpointed(ranked.select("g", "size", "band", "n", F.explode(F.slice("r", 1, F.col("size") - needed + 1)).alias("w")))
+    x = keys.select("w", F.col("g").alias("g1"), F.col("n").alias("n1"), F.col("band").alias("b1"), F.col("size").alias("s1"))
+    y = keys.select("w", F.col("g").alias("g2"), F.col("n").alias("n2"), F.col("band").alias("b2"), F.col("size").alias("s2"))
+    near = (F.abs(F.col("b1") - F.col("b2")) <= 1) & (F.least("n1", "n2") >= 0.5 * F.greatest("n1", "n2"))
+    met = x.join(y, "w").filter((F.col("g1") < F.col("g2")) & near).select("g1", "g2", "s1", "s2").distinct()
+    bags = reps.select("g", "bag")
+    both = met.join(bags.toDF("g1", "bag1"), "g1").join(bags.toDF("g2", "bag2"), "g2")
+    alike = both.filter(F.size(F.array_intersect("bag1", "bag2")) >= c["word_overlap"] * F.least("s1", "s2")).select("g1", "g2")
+    linked = alike.union(alike.select("g2", "g1")).union(reps.select("g", "g")).toDF("g1", "g2")
+    named = d.join(reps.select("g", "band"), "g").select("g", "article", "band")
+    first, second = named.toDF("g1", "first", "band1"), named.toDF("g2", "second", "band2")
+    pairs = linked.join(first, "g1").join(second, "g2")
+    return pairs.filter((F.col("band1") < F.col("band2")) | ((F.col("band1") == F.col("band2")) & (F.col("first") < F.col("second")))).select("first", "second")
 
 
 def near_duplicates(a: DataFrame, c: dict = CONFIG) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,13 +128,8 @@ def parsed(files: DataFrame) -> DataFrame:
     })
 
 
-def name_pairs(files: DataFrame, least: float = NAMES_AT) -> DataFrame:
-    """Pairs a < b of file names that are as alike as ``least``, with their similarity.
-
-    Names must share a word, so pairs come from a join on words.  Names with the same words are
-    grouped first, and the words' sets are paired, the rarest words of each as its prefix: two sets of a
-    similarity of t share one of the first n - ceil(t * n) + 1 of their n words in order of rarity.
-    """
+def _name_links(files: DataFrame, least: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Files with their words, links between different sets of words (k, k2, ta, tb, name_similarity), and the sets."""
     named = files.select("filename", name_tokens(stem(F.col("filename"))).alias("tokens")).filter(F.size("tokens") > 0)
     sets = checkpointed(named.groupBy(F.array_sort("tokens").alias("tokens")).agg(F.min("filename").alias("k")))
     seen = sets.select("k", F.explode("tokens").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
@@ -145,6 +139,32 @@ def name_pairs(files: DataFrame, least: float = NAMES_AT) -> DataFrame:
     met = prefix.join(prefix.withColumnRenamed("k", "k2"), "t").filter("k < k2").select("k", "k2").distinct()
     left, right = sets.select("k", F.col("tokens").alias("ta")), sets.select(F.col("k").alias("k2"), F.col("tokens").alias("tb"))
     alike = met.join(left, "k").join(right, "k2").withColumn("name_similarity", S.jaccard(F.col("ta"), F.col("tb"))).filter(F.col("name_similarity") >= least)
+    return named, alike, sets
+
+
+def name_links(files: DataFrame, least: float = NAMES_AT) -> DataFrame:
+    """Pairs a < b of file names, each the first of those with its set of words, that are as alike as ``least``, with their similarity.
+
+    With :func:`name_members` they say all that :func:`name_pairs` does, without listing files of equal sets by pairs.
+    """
+    return _name_links(files, least)[1].select(F.col("k").alias("a"), F.col("k2").alias("b"), "name_similarity")
+
+
+def name_members(files: DataFrame) -> DataFrame:
+    """filename, first (the least name with the same set of words) and members (how many have that set), of names with a word."""
+    named = files.select("filename", F.array_sort(name_tokens(stem(F.col("filename")))).alias("t")).filter(F.size("t") > 0)
+    by = named.groupBy("t").agg(F.min("filename").alias("first"), F.count("*").alias("members"))
+    return named.join(by, "t").select("filename", "first", "members")
+
+
+def name_pairs(files: DataFrame, least: float = NAMES_AT) -> DataFrame:
+    """Pairs a < b of file names that are as alike as ``least``, with their similarity.
+
+    Names must share a word, so pairs come from a join on words.  Names with the same words are
+    grouped first, and the words' sets are paired, the rarest words of each as its prefix: two sets of a
+    similarity of t share one of the first n - ceil(t * n) + 1 of their n words in order of rarity.
+    """
+    named, alike, sets = _name_links(files, least)
     linked = alike.select("ta", "tb", "name_similarity").union(sets.select("tokens", "tokens", F.lit(1.0)))
     keyed = named.select("filename", F.array_sort("tokens").alias("s"))
     a, b = keyed.select(F.col("filename").alias("x"), F.col("s").alias("ta")), keyed.select(F.col("filename").alias("y"), F.col("s").alias("tb"))
@@ -195,65 +215,69 @@ def pick_best(rows: DataFrame) -> DataFrame:
     return rows.withColumn("best", F.row_number().over(order) == 1)
 
 
-def _tokens(name: str) -> set[str]:
-    return {t.lower().strip("_-") for t in name.split("_") if len(t) > 2}
-
-
-def _alike(a: dict, b: dict) -> float:
-    """The higher of the texts' ratio and the names' similarity."""
-    x, y = _tokens(a["bare"]), _tokens(b["bare"])
-    names = len(x & y) / len(x | y) if x and y else 0.0
-    texts = S.block_ratio(a["snippet"], b["snippet"]) if a["snippet"] and b["snippet"] else 0.0
-    return max(names, texts)
+def alike_submissions(subs: DataFrame, least: float = MATCH_AT) -> DataFrame:
+    """Pairs of a lower and a higher submission of one application whose names or texts are as alike as ``least``.
 
-
-def settle(rows: list[dict]) -> list[dict]:
-    """One application's submissions, in order of filename: sets canonical and reason.
-
-    A last submission without a text of MIN_LENGTH is taken for broken.  A lower submission is superseded by
-    the most alike file of a higher one, if that still counts when its turn comes.
+    ``subs``: filename, app_key, submission_number, snippet, bare.  Columns: low, high, high_number, similarity, the
+    higher of the names' and the texts' similarity.  Texts are compared in Arrow batches, where their lengths allow ``least``.
+    """
+    rows = subs.withColumn("tokens", name_tokens(F.col("bare")))
+    low = rows.select("app_key", F.col("filename").alias("low"), F.col("submission_number").alias("low_number"), F.col("snippet").alias("x"), F.col("tokens").alias("tx"))
+    high = rows.filter("snippet <> ''").select("app_key", F.col("filename").alias("high"), F.col("submission_number").alias("high_number"), F.col("snippet").alias("y"), F.col("tokens").alias("ty"))
+    both = low.join(high, "app_key").filter("low_number < high_number").withColumn("names", S.jaccard(F.col("tx"), F.col("ty")))
+    n, m = F.length("x"), F.length("y")
+    may = (n > 0) & (2.0 * F.least(n, m) / F.greatest(n + m, F.lit(1)) >= least)
+    both = both.withColumns({"x": F.when(may, F.col("x")), "y": F.when(may, F.col("y"))}).filter((F.col("names") >= least) | may)
+    # dealt evenly, as an application may have very many pairs
+    texts = both.select("low", "high", "high_number", "names", "x", "y").repartition("low", "high").withColumn("texts", S.ratio_from(F.col("x"), F.col("y"), least))
+    return texts.withColumn("similarity", F.greatest("names", F.coalesce("texts", F.lit(0.0)))).filter(F.col("similarity") >= least).select("low", "high", "high_number", "similarity")
+
+
+def settled(subs: DataFrame) -> DataFrame:
+    """filename, canonical and reason of each submission (filename, app_key, submission_number, snippet, bare).
+
+    A last submission without a text of MIN_LENGTH is taken for broken.  A submission below the highest
+    whole one is superseded by the most alike file of a higher one, unless that was itself superseded and comes before it
+    by name.  Files only ever depend on higher submissions, so the levels are settled from the top, one round for each.
     """
-    by_number: dict[int, list[dict]] = {}
-    for r in rows:
-        r["canonical"], r["reason"] = True, None
-        by_number.setdefault(r["submission_number"], []).append(r)
-    last = max(by_number)
-    top = next((n for n in sorted(by_number, reverse=True) if any(len(r["snippet"]) >= MIN_LENGTH for r in by_number[n])), last)
-    if not any(len(r["snippet"]) >= MIN_LENGTH for r in by_number[last]):
-        for r in by_number[last]:
-            r["canonical"], r["reason"] = False, f"submission_{last} file too small ({len(r['snippet'])} chars), likely corrupted"
-    targets = [r for n in sorted(by_number) for r in by_number[n] if r["canonical"] and r["snippet"]]
-    for r in rows:
-        if r["submission_number"] >= top or not r["canonical"]:
-            continue
-        best, number = 0.0, 0
-        for t in targets:
-            if t["submission_number"] > r["submission_number"] and t["canonical"] and (s := _alike(r, t)) > best:
-                best, number = s, t["submission_number"]
-        r["canonical"] = best < MATCH_AT
-        r["reason"] = "unique doc not in later submission" if r["canonical"] else f"superseded by submission_{number} (content sim={best:.2f})"
-    return rows
-
-
-def _settled(group: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame(settle(group.sort_values("filename").to_dict("records")))[["filename", "canonical", "reason"]]
+    app = Window.partitionBy("app_key")
+    whole = F.length("snippet") >= MIN_LENGTH
+    d = subs.withColumns({"last": F.max("submission_number").over(app), "top": F.max(F.when(whole, F.col("submission_number"))).over(app), "level": F.dense_rank().over(app.orderBy(F.desc("submission_number")))})
+    d = d.withColumn("broken", (F.col("submission_number") == F.col("last")) & ~F.coalesce(F.col("top") == F.col("last"), F.lit(False)))
+    d = checkpointed(d.withColumn("top", F.coalesce("top", "last")))
+    live = d.filter("not broken")
+    open_ = live.filter("submission_number < top").select(F.col("filename").alias("low"), "level")
+    pairs = checkpointed(alike_submissions(live.select(subs.columns)).join(open_, "low"))
+    levels = [r["level"] for r in pairs.select("level").distinct().orderBy("level").collect()]  # as many as one application has submissions
+    gone = d.sparkSession.createDataFrame([], "low string, number int, similarity double")
+    for level in levels:
+        before = gone.select(F.col("low").alias("high"))
+        own = pairs.filter(F.col("level") == level)
+        stays = own.join(before.filter("high is not null"), (own["high"] == before["high"]) & (own["high"] < own["low"]), "left_anti")
+        best = stays.groupBy("low").agg(F.min(F.struct((-F.col("similarity")).alias("s"), F.col("high_number").alias("n"))).alias("b"))
+        gone = checkpointed(gone.union(best.select("low", F.col("b.n").cast("int"), -F.col("b.s"))))
+    out = d.join(gone, d["filename"] == gone["low"], "left")
+    superseded = F.concat(F.lit("superseded by submission_"), F.col("number").cast("string"), F.format_string(" (content sim=%.2f)", F.col("similarity")))
+    broken = F.concat(F.lit("submission_"), F.col("last").cast("string"), F.lit(" file too small ("), F.length("snippet").cast("string"), F.lit(" chars), likely corrupted"))
+    reason = F.when(F.col("broken"), broken).when(F.col("low").isNotNull(), superseded).when(F.col("submission_number") < F.col("top"), "unique doc not in later submission")
+    return out.select("filename", (~F.col("broken") & F.col("low").isNull()).alias("canonical"), reason.alias("reason"))
 
 
 def canonicalize(files: DataFrame) -> DataFrame:
     """filename, status (webpage, draft, superseded, duplicate or canonical), reason, app_key, version_score.
 
     Webpages stand apart; drafts go; of submissions of an application the last ones count; of near duplicates
-    the best version.  Applications are small groups of files, each settled as one.
+    the best version.
     """
     d = parsed(files.select("filename", "content")).withColumns({"webpage": is_webpage(F.col("filename"), F.col("content")), "draft": is_draft(F.col("filename"), F.col("content"))})
     d = checkpointed(d)
     live = d.filter("not webpage and not draft")
     subs = live.filter("submission_number is not null").select("filename", "app_key", "submission_number", snippet(F.col("content")).alias("snippet"), without_version(F.col("doc_identity")).alias("bare"))
-    settled = checkpointed(subs.groupBy("app_key").applyInPandas(_settled, "filename string, canonical boolean, reason string"))
-    stays = live.join(settled.filter("not canonical").select("filename"), "filename", "left_anti")
+    judged = checkpointed(settled(subs))
+    stays = live.join(judged.filter("not canonical").select("filename"), "filename", "left_anti")
     pairs = duplicate_pairs(stays)
     ranked = pick_best(clusters(pairs).join(stays.select("filename", "version_score", "date_str", F.lit(0).alias("length")), "filename"))
-    out = d.join(settled, "filename", "left").join(ranked.select("filename", "best"), "filename", "left")
+    out = d.join(judged, "filename", "left").join(ranked.select("filename", "best"), "filename", "left")
     status = F.when(F.col("webpage"), "webpage").when(F.col("draft"), "draft").when(~F.col("canonical"), "superseded").when(~F.col("best"), "duplicate").otherwise("canonical")
     reason = F.when(F.col("webpage") | F.col("draft"), F.lit("")).when(~F.col("best"), "duplicate; kept version with higher score").otherwise(F.coalesce("reason", F.when(F.col("submission_number").isNull(), "non-submission category").otherwise("")))
     return out.select("filename", status.alias("status"), reason.alias("reason"), "app_key", "version_score")

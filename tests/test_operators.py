@@ -65,7 +65,8 @@ def test_frontmatter(spark):
     assert FM.updated("---\na: 1\n---\nbody", {"b": 2}) == "---\na: 1\nb: 2\n---\nbody"
     assert FM.updated("body", {"b": 2}) == "---\nb: 2\n---\n\nbody"
     assert FM.updated("--- open", {"b": 2}) == "--- open"
-    assert FM.strip_blocks("---\na: 1\n---\nx\n```\ncode\n```\ny") == "x\ny"
+    for text, left in [("---\na: 1\n---\nx\n```\ncode\n```\ny", "x\ny"), ("a\n---\nb\n```\nc\n---\nd\n ``` \ne", "a\ne"), ("a\n...\nb", "a"), ("", ""), ("plain\n\ntext", "plain\n\ntext")]:
+        assert one(spark, text, FM.without_blocks) == left
     assert FM.repaired("```yaml\nfunder: A\n---\nText\n```").startswith("---\nfunder: A\n---\nText")
     assert [FM.extract_year(v) for v in (7, "in 2024", "1999", None)] == [7, 2024, None, None]
     row = spark.createDataFrame([("---\nfunder: A\nsources: []\nx: 1\n---\nB",), ("no",), ("---\n: : [\n---\nC",)], "t string").select(FM.read(FM.block(F.col("t"))).alias("f"), FM.body(F.col("t")).alias("b")).collect()
@@ -80,12 +81,85 @@ def test_components(spark):
     assert {found[i] for i in range(21)} == {0} and {found[i] for i in (100, 101, 102)} == {100}
 
 
-def test_submissions_are_settled():
-    long = "w " * 500
-    row = lambda n, number, text: {"filename": n, "submission_number": number, "snippet": text, "bare": n}
-    out = {r["filename"]: r for r in canonical.settle([row("a", 1, long), row("b", 2, long), row("c", 3, "tiny")])}
-    assert not out["c"]["canonical"] and "too small" in out["c"]["reason"]
-    assert not out["a"]["canonical"] and "submission_2" in out["a"]["reason"] and out["b"]["canonical"]
+def brute_settle(rows):
+    """Submissions of one application in order of filename, one at a time: filename -> (canonical, number of the superseder)."""
+    words = lambda n: {w.lower().strip("_-") for w in n.split("_") if len(w) > 2}
+    rows = sorted(rows)
+    last = max(n for _, n, _ in rows)
+    whole = [n for _, n, t in rows if len(t) >= canonical.MIN_LENGTH]
+    top = max(whole, default=last)
+    state = {f: [not (n == last and last not in whole), None] for f, n, _ in rows}
+    started = {f for f, (good, _) in state.items() if good}
+    for f, n, t in rows:
+        if n >= top or not state[f][0]:
+            continue
+        found = []
+        for f2, n2, t2 in rows:
+            if n2 > n and t2 and f2 in started and state[f2][0]:
+                x, y = words(f), words(f2)
+                names = len(x & y) / len(x | y) if x and y else 0.0
+                found.append((max(names, SequenceMatcher(None, t, t2, autojunk=False).ratio() if t else 0.0), -n2))
+        if found and max(found)[0] >= canonical.MATCH_AT:
+            state[f] = [False, -max(found)[1]]
+    return {f: tuple(v) for f, v in state.items()}
+
+
+def test_submissions_are_settled(spark):
+    import random
+
+    rng = random.Random(9)
+    letters = "abcdefghij"
+    texts = ["".join(rng.choice(letters) + " " * (rng.random() < 0.2) for _ in range(n)) for n in (900, 850, 300, 60)]
+    rows, apps = [], {}
+    for app in range(12):
+        for k in range(rng.randint(1, 6)):
+            t = rng.choice([*texts, ""])
+            t = "".join(rng.choice(letters) if rng.random() < rng.choice([0.0, 0.1, 0.5]) else c for c in t)
+            name = f"{rng.choice('xyz')}{k}_app{app}_{rng.choice(['plan_budget', 'plan', 'other_thing', 'budget_list'])}"
+            rows.append((name, f"app{app}", rng.randint(1, 4), t, name))
+            apps.setdefault(f"app{app}", []).append((name, rows[-1][2], t))
+    d = spark.createDataFrame(rows, "filename string, app_key string, submission_number int, snippet string, bare string")
+    found = {r["filename"]: r for r in canonical.settled(d).collect()}
+    assert len(found) == len(rows)
+    superseded = 0
+    for group in apps.values():
+        for f, (good, number) in brute_settle(group).items():
+            assert found[f]["canonical"] == good
+            if number is not None:
+                superseded += 1
+                assert f"submission_{number} " in found[f]["reason"]
+    assert superseded >= 5 and any("too small" in (r["reason"] or "") for r in found.values())
+
+
+def test_name_links_say_all_pairs(spark):
+    import random
+
+    rng = random.Random(4)
+    words = ["plan", "budget", "report", "list", "board", "note", "final", "draft"]
+    files = [(f"{'_'.join(rng.sample(words, rng.randint(1, 5)))}__{i}.md",) for i in range(60)]
+    d = spark.createDataFrame(files, "filename string")
+    first = {r["filename"]: r["first"] for r in canonical.name_members(d).collect()}
+    links = {(r["a"], r["b"]) for r in canonical.name_links(d).collect()}
+    pairs = {(r["a"], r["b"]) for r in canonical.name_pairs(d).collect()}
+    said = {tuple(sorted((x, y))) for x in first for y in first if x != y and (first[x] == first[y] or tuple(sorted((first[x], first[y]))) in links)}
+    assert said == pairs and len(pairs) > 300
+
+
+def test_rewriting_keeps_whole_documents(spark):
+    from archivelens.plans.pipeline import Pipeline
+
+    text = "\n\n".join(f"Paragraph {i} says something about the programme and its people, year by year." for i in range(60))
+    docs = [(f"OAC__2021_Plan{i}__report.md", f"OAC/2021/Report/OAC__2021_Plan{i}__report.md", f"---\nfunder: OAC\ntype: report\nwritten: 2021\n---\n\n# Title {i}\n\n{text}\n\nNumber {i}.\n") for i in range(5)]
+    d = spark.createDataFrame(docs, "filename string, filepath string, content string")
+    pipeline = Pipeline(funders=["OAC"])
+    asked = pipeline.classify(d)
+    rewritten = {r["filename"]: r for r in pipeline.rewrite(asked).collect()}
+    assert all(r["input_tokens"] > 0 for r in rewritten.values())
+    for name, _, content in docs:
+        body = content.split("---\n", 2)[2].strip()
+        assert rewritten[name]["content"].endswith(body) and "funder: OAC" in rewritten[name]["content"]
+    ranked = pipeline.run(d, ["classify", "rewrite", "prioritize"])["documents"].collect()
+    assert len(ranked) == 5 and all(r["priority"] in (1, 2, 3) for r in ranked)
 
 
 def test_duplicates_against_all_pairs(spark):
