@@ -25,6 +25,7 @@ def rows_pass(change: Callable, ddl: str, kind: pa.DataType) -> Callable[..., Co
 
     def batches(parts: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for part in parts:
+            part = part if isinstance(part, tuple) else (part,)  # a single column comes by itself
             yield pa.array([change(*values) for values in zip(*(p.to_pylist() for p in part), strict=True)], kind)
 
     batches.__annotations__ = {"parts": Iterator[tuple[pa.Array, ...]], "return": Iterator[pa.Array]}

@@ -29,6 +29,8 @@ DRAFT_NAMES = r"(?i)_(?:draft|prep|working|todo)(?:_|\.)"
 DRAFT_WORDS = ["draft", "work in progress", "not final", "pending review"]
 MATCH_AT, DUPLICATE_AT, NAMES_AT = 0.45, 0.70, 0.25
 MIN_LENGTH, COMPARED = 800, 2000
+#: Between which ratios a model is asked, and how many characters of each file it sees.
+DOUBT, ASKED = (0.25, 0.55), 800
 
 
 def stem(filename: Column) -> Column:
@@ -263,17 +265,48 @@ def settled(subs: DataFrame) -> DataFrame:
     return out.select("filename", (~F.col("broken") & F.col("low").isNull()).alias("canonical"), reason.alias("reason"))
 
 
-def canonicalize(files: DataFrame) -> DataFrame:
+def doubtful_pairs(subs: DataFrame) -> DataFrame:
+    """low, high, app_key, last and similarity of pairs of a lower and a last submission that a ratio can't tell apart."""
+    app = Window.partitionBy("app_key")
+    rows = subs.filter("snippet <> ''").withColumn("last", F.max("submission_number").over(app))
+    low = rows.filter("submission_number < last").select("app_key", "last", F.col("filename").alias("low"), F.col("snippet").alias("x"))
+    high = rows.filter("submission_number = last").select("app_key", F.col("filename").alias("high"), F.col("snippet").alias("y"))
+    n, m = F.length("x"), F.length("y")
+    both = low.join(high, "app_key").filter(2.0 * F.least(n, m) / (n + m) >= DOUBT[0]).repartition("low", "high")
+    return both.withColumn("similarity", S.ratio_from(F.col("x"), F.col("y"), DOUBT[0])).filter(F.col("similarity").between(*DOUBT))
+
+
+def resolve_doubtful(subs: DataFrame, make) -> DataFrame:
+    """filename and reason of lower submissions that a model holds for the same as one of the last (inventory J16).
+
+    Each pair is a prompt of its own, so an answer is about just one pair; an answer that can't be read changes nothing.
+    """
+    from ..sources.providers import answers
+
+    shown = lambda name, text: F.concat_ws("\n", F.concat(F.lit("File "), F.col(name)), F.left(F.col(text), F.lit(ASKED)))
+    head = F.lit('Are these two files the same document, perhaps edited? Answer as JSON: {"same": true} or {"same": false}.')
+    asked = doubtful_pairs(subs).select("low", "last", F.concat_ws("\n\n", head, shown("low", "x"), shown("high", "y")).alias("prompt"))
+    said = F.from_json(F.regexp_extract("answer", r"(?s)\{.*?\}", 0), "same boolean")["same"]
+    same = answers(asked, make).filter(F.coalesce(said, F.lit(False)))
+    return same.groupBy(F.col("low").alias("filename")).agg(F.concat(F.lit("superseded by submission_"), F.max("last").cast("string"), F.lit(" (LLM confirmed match)")).alias("reason"))
+
+
+def canonicalize(files: DataFrame, model=None) -> DataFrame:
     """filename, status (webpage, draft, superseded, duplicate or canonical), reason, app_key, version_score.
 
     Webpages stand apart; drafts go; of submissions of an application the last ones count; of near duplicates
-    the best version.
+    the best version.  With ``model``, which makes a language model, it decides where submissions are neither alike nor unlike.
     """
     d = parsed(files.select("filename", "content")).withColumns({"webpage": is_webpage(F.col("filename"), F.col("content")), "draft": is_draft(F.col("filename"), F.col("content"))})
     d = checkpointed(d)
     live = d.filter("not webpage and not draft")
     subs = live.filter("submission_number is not null").select("filename", "app_key", "submission_number", snippet(F.col("content")).alias("snippet"), without_version(F.col("doc_identity")).alias("bare"))
-    judged = checkpointed(settled(subs))
+    judged = settled(subs)
+    if model is not None:
+        kept = judged.filter("canonical").select("filename").join(subs, "filename")
+        told = resolve_doubtful(kept, model).select("filename", F.col("reason").alias("told"))
+        judged = judged.join(told, "filename", "left").select("filename", (F.col("canonical") & F.col("told").isNull()).alias("canonical"), F.coalesce("told", "reason").alias("reason"))
+    judged = checkpointed(judged)
     stays = live.join(judged.filter("not canonical").select("filename"), "filename", "left_anti")
     pairs = duplicate_pairs(stays)
     ranked = pick_best(clusters(pairs).join(stays.select("filename", "version_score", "date_str", F.lit(0).alias("length")), "filename"))

@@ -125,8 +125,11 @@ def tier_reason() -> Column:
     return F.when(told != "", told).otherwise(plain)
 
 
-def summary(rows: DataFrame) -> DataFrame:
-    """Counts by tier, by status and by funder (none: unknown), in one pass over the rows: dimension, value, files."""
-    rows = rows.select("tier", "status", F.coalesce("funder", F.lit("unknown")).alias("funder"))
+def summary(rows: DataFrame, unknown: bool = True) -> DataFrame:
+    """Counts by tier, by status and by funder, in one pass over the rows: dimension, value, files.
+
+    Rows without a funder count as unknown, or not at all among funders, as for lists of files (inventory A4).
+    """
+    rows = rows.select("tier", "status", F.coalesce("funder", F.lit("unknown" if unknown else None)).alias("funder"))
     cells = rows.select(F.explode(F.array(*(F.struct(F.lit(c).alias("dimension"), F.col(c).alias("value")) for c in ("tier", "status", "funder")))).alias("c"))
-    return cells.groupBy("c.dimension", "c.value").agg(F.count("*").alias("files"))
+    return cells.filter(F.lit(unknown) | F.col("c.value").isNotNull()).groupBy("c.dimension", "c.value").agg(F.count("*").alias("files"))

@@ -168,3 +168,15 @@ def scorecard(rolled: DataFrame, kinds: DataFrame) -> str:
     for r in kinds.orderBy("kind").collect():
         out.append(f"| {r['kind']} | " + " | ".join("n/a" if r[c] is None else f"{r[c]:.3f}" for c in names) + " |")
     return "\n".join(out) + "\n"
+
+
+def runs(found: DataFrame, converters: list[dict]) -> DataFrame:
+    """Each case (slug, fmt, name, golden) with each converter that is switched on, and pages and cost.
+
+    ``converters``: a benchmark's settings (name, extensions, enabled, cost_per_page), a handful, which become literals of the plan.
+    ``supported`` says whether the converter takes the file's suffix.
+    """
+    suffix = F.lower(F.regexp_extract("name", r"(\.[^.]*)$", 1))
+    tried = [F.struct(F.lit(c["name"]).alias("converter"), suffix.isin(list(c.get("extensions", []))).alias("supported"), F.lit(float(c.get("cost_per_page", 0.0))).alias("price")) for c in converters if c.get("enabled", True)]
+    d = found.withColumn("_pages", pages(F.col("golden"))).select("*", F.explode(F.array(*tried)).alias("_c"))
+    return d.select("slug", "fmt", "name", "golden", "_c.converter", "_c.supported", F.col("_pages").alias("pages"), (F.col("_pages") * F.col("_c.price")).alias("cost_usd"))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut, in the cluster's checkpoint folder; a temporary one only where none is set, as in tests."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        import tempfile
-
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='archivelens-checkpoint-')}")
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 

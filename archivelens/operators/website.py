@@ -52,3 +52,14 @@ def staged(pages: DataFrame, org: str, content: str = "content") -> DataFrame:
     marks = X.count_if(X.lines(F.col("_body")), lambda x: X.strip(x).isin("---", "...") | X.strip(x).startswith("```"))
     d = d.withColumns({"text": F.when(F.col("error").isNull(), FM.apply(F.col("_body"), front)), "cut": marks % 2 == 1})
     return d.drop("_body", "_h", content)
+
+
+def listed(pages: DataFrame, path: str, content: str = "content", name: str | None = None) -> DataFrame:
+    """What staging would do with files: source_file, source_url, scraped_at, url_slug, would_stage and error.
+
+    Unlike :func:`staged`, the header is looked for in the raw text, in front of any frontmatter.
+    """
+    d = pages.withColumn("_h", header(F.col(content)))
+    found = F.col("_h").isNotNull()
+    called = sanitised(F.lit(name)) if name else slug(F.col("_h.url"))
+    return d.select(F.col(path).alias("source_file"), F.col("_h.url").alias("source_url"), F.col("_h.scraped_at").alias("scraped_at"), F.when(found, called).alias("url_slug"), found.alias("would_stage"), F.when(~found, "No scraper comment found").alias("error"))

@@ -6,14 +6,18 @@ express an operator there is none, and tests hold it against a brute-force versi
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import frontmatter as FM
 from .functions import text as X
-from .operators import audit, canonical, classify, cleaner, evaluate, fidelity, manifest, pii, prioritize, repack, rewrite, rules, scan, validate, website
+from .operators import audit, canonical, classify, cleaner, evaluate, fidelity, manifest, pii, prioritize, repack, reports, rewrite, rules, scan, validate, website
+from .operators import markdown as MD
 from .plans import queries_sql as Q
 from .sources import fixtures as fx
+from .sources.providers import DOCUMENT
 
 FUNDERS = list(fx.FUNDERS)
 _S = Q.strip
@@ -166,6 +170,7 @@ def _classifying() -> dict:
     reason = "CASE WHEN s1 THEN draft_marker_count || ' draft markers' WHEN s2 THEN 'Too short: ' || content_lines || ' lines' END"
     return {
         "classify_summary": (_md(lambda d: classify.summary(_classified(_lightly(d)))), _summary_sql()),
+        "classify_summary_files": (_md(lambda d: classify.summary(_classified(_lightly(d)), unknown=False)), _summary_sql().replace("'funder', coalesce(funder, 'unknown') FROM k)", "'funder', funder FROM k WHERE funder IS NOT NULL)")),
         "content_metrics": (_md(lambda d: classify.with_metrics(d).select(*cols)), md + _classified_sql(f"SELECT {', '.join(cols)} FROM k")),
         "language_detect": (lambda spark, sf_dir: fx.table(spark, sf_dir, "documents").select("doc_id", classify.language(F.col("text")).alias("language")), _language_sql()),
         "rule_tier_first_match": (_md(lambda d: _classified(d).select("doc_id", "tier", "status")), md + _classified_sql("SELECT doc_id, tier, status FROM k")),
@@ -230,7 +235,12 @@ SELECT {columns} FROM s"""
 
 def _website() -> dict:
     stage = f"WITH c AS ({fx.SCRAPED_SQL}), x AS (SELECT page_id, content, string_split(content, chr(10))[1] AS first FROM c), h AS (SELECT page_id, nullif(regexp_extract(first, '{_HEADER_SQL}', 1), '') AS url, nullif(regexp_extract(first, '{_HEADER_SQL}', 2), '') AS scraped_at, nullif(regexp_extract(first, '{_HEADER_SQL}', 3), '') AS content_hash FROM x),\n"
+    raw = f"WITH c AS ({fx.SCRAPED_SQL}), h AS (SELECT page_id, nullif(regexp_extract(string_split(content, chr(10))[1], '{_HEADER_SQL}', 1), '') AS url, nullif(regexp_extract(string_split(content, chr(10))[1], '{_HEADER_SQL}', 2), '') AS scraped_at FROM c),\n"
     return {
+        "website_list": (
+            lambda spark, sf_dir: website.listed(fx.scraped_pages(spark, sf_dir).withColumn("path", F.col("page_id").cast("string")), "path"),
+            raw + _slug_sql("h", f"page_id::VARCHAR AS source_file, url AS source_url, scraped_at, CASE WHEN url IS NOT NULL THEN {_SLUG_SQL} END AS url_slug, url IS NOT NULL AS would_stage, CASE WHEN url IS NULL THEN 'No scraper comment found' END AS error"),
+        ),
         "url_slug": (lambda spark, sf_dir: fx.table(spark, sf_dir, "pages").select("page_id", website.slug(F.col("url")).alias("slug")), "WITH " + _slug_sql("pages", f"page_id, {_SLUG_SQL} AS slug")),
         "website_stage": (
             lambda spark, sf_dir: website.staged(fx.scraped_pages(spark, sf_dir), "IA").select("page_id", "status", "error", "source_url", "scraped_at", "content_hash", "url_slug", "filename", F.col("written").cast("string").alias("written")),
@@ -269,6 +279,13 @@ def _period_sql() -> str:
     return f"CASE WHEN len({ys}) > 0 THEN CASE WHEN list_min({ys}) = list_max({ys}) THEN list_min({ys})::VARCHAR ELSE list_min({ys}) || '–' || list_max({ys}) END ELSE {Q.field('period')} END"
 
 
+def _applied_sql() -> str:
+    front, fence = f"{_S('x')} IN ('---', '...')", f"starts_with({_S('x')}, '```')"
+    odd = lambda test: f"len(list_filter(ls[1:i], lambda x: {test})) % 2 = 1"
+    kept = f"list_filter(ls, lambda x, i: NOT ({front}) AND NOT ({fence}) AND NOT ({odd(front)}) AND NOT ({odd(fence)}))"
+    return Q.with_front(f"""SELECT doc_id, '---' || chr(10) || 'funder: "' || funder_code || '"' || chr(10) || 'written: ' || year_code || chr(10) || '---' || chr(10) || chr(10) || {_S(Q.join(kept))} || chr(10) AS content FROM (SELECT *, string_split(body, chr(10)) AS ls FROM fm)""")
+
+
 def _frontmatter() -> dict:
     fm = lambda run: _md(lambda d: run(d.withColumn("block", FM.block(F.col("content")))))
     return {
@@ -276,7 +293,7 @@ def _frontmatter() -> dict:
         "frontmatter_year": (fm(lambda d: d.select("doc_id", FM.year_of(*(FM.field(F.col("block"), f) for f in ("written", "period", "period_start"))).cast("string").alias("year"))), Q.with_front(f"SELECT doc_id, coalesce({', '.join(f'nullif({Q.year(Q.field(f))}, 0)' for f in ('written', 'period', 'period_start'))})::VARCHAR AS year FROM fm")),
         "frontmatter_alias_fold": (fm(lambda d: d.select("doc_id", FM.fold_names(F.col("block")).alias("block"))), Q.with_front(f"SELECT doc_id, {_alias_sql()} AS block FROM fm")),
         "period_normalise": (fm(lambda d: d.select("doc_id", FM.field(FM.fold_values(F.col("block")), "period").alias("period"))), Q.with_front(f"SELECT doc_id, {_period_sql()} AS period FROM fm")),
-        "frontmatter_apply": (_md(lambda d: d.select("doc_id", FM.apply(FM.body(F.col("content")), FM.written({"funder": FM.quoted(F.col("funder_code")), "written": F.col("year_code")})).alias("content"))), None),
+        "frontmatter_apply": (_md(lambda d: d.select("doc_id", FM.apply(FM.body(F.col("content")), FM.written({"funder": FM.quoted(F.col("funder_code")), "written": F.col("year_code")})).alias("content"))), _applied_sql()),
     }
 
 
@@ -351,6 +368,23 @@ def _gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(d, found, "doc_id").select("doc_id", "clean", "passed")
 
 
+def _findings_sql() -> str:
+    breaks = "[" + ", ".join(f"chr({c})" for c in (11, 12, 13, 28, 29, 30, 133, 8232, 8233)) + "]"
+    rows = f"string_split(list_reduce(list_prepend(replace(content, chr(13) || chr(10), chr(10)), {breaks}), lambda t, c: replace(t, c, chr(10))), chr(10))"
+    kinds = [*pii.PATTERNS, *(("denylisted_name", rf"(?i)\b{re.escape(n)}\b") for n in fx.DENYLIST)]
+    # a guard takes a character that the pattern only looks at, so the match is its group
+    guarded = lambda p: p.replace("(?<!\\d)", "(?:^|[^0-9])(").replace("(?!\\d)", ")(?:[^0-9]|$)") if "(?<!" in p else f"({p})"
+    union = " UNION ALL ".join(f"SELECT doc_id, line, row, '{k}' AS kind, unnest(regexp_extract_all(row, {Q.quote(guarded(p))}, 1)) AS match FROM l" for k, p in kinds)
+    at, n = "instr(row, match)", pii.AROUND
+    low, high = f"greatest({at} - {n}, 1)", f"({at} + length(match) + {n - 1})"
+    context = f"CASE WHEN {low} > 1 THEN '…' ELSE '' END || substr(row, {low}, {high} - {low} + 1) || CASE WHEN {high} < length(row) THEN '…' ELSE '' END"
+    return Q.md_cte("").rstrip() + f""",
+r AS (SELECT doc_id, {rows} AS ls FROM md),
+l AS (SELECT doc_id, unnest(ls) AS row, generate_subscripts(ls, 1)::INT AS line FROM r),
+f AS ({union})
+SELECT doc_id, line, kind, match, {_S(context)} AS context FROM f"""
+
+
 def _private() -> dict:
     p = dict(reversed([x for x in pii.PATTERNS if x[0] != "postal_code"]))
     names = r"(?i)\bJane Doe\b|\bJohn Q\. Public\b"
@@ -364,7 +398,7 @@ def _private() -> dict:
         "pii_currency": (_pii("currency"), _pii_sql(p["currency"])),
         "pii_denylist": (_pii("denylisted_name"), _pii_sql(names)),
         "pii_gate": (_gate, Q.md_cte(f"SELECT doc_id, NOT (regexp_matches(content, '{names}') OR {every}) AS clean, NOT regexp_matches(content, '{names}') AS passed FROM md")),
-        "pii_report": (lambda spark, sf_dir: pii.findings(fx.md_documents(spark, sf_dir), "doc_id", "content", fx.DENYLIST), None),
+        "pii_report": (lambda spark, sf_dir: pii.findings(fx.md_documents(spark, sf_dir), "doc_id", "content", fx.DENYLIST), _findings_sql()),
     }
 
 
@@ -417,21 +451,25 @@ def _versions() -> dict:
     subs = "coalesce(" + ", ".join(f"TRY_CAST(nullif(regexp_extract(s, '{p}', 1), '') AS INT)" for p in canonical.SUBMISSIONS) + ")"
     rest = f"{_SEG}[3:]"
     own = "list_filter(" + rest + ", lambda s: NOT regexp_matches(s, '" + "|".join(canonical.SUBMISSIONS) + "'))"
+    bare = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(doc_identity, '(?i)_v\\d+$', ''), '_?(?:final|FINAL|Final)$', ''), '_(?:updated|corrected|submitted|SUBMITTED|signed|copy|Copy|edit|EDIT|draft|DRAFT|prep|PREP|working|WORKING|todo|ToDo|notes|Notes|blank|short|small)$', ''), '^\\d{4}-\\d{2}-\\d{2}_', ''), '_')"
     draft = " OR ".join(f"ends_with(regexp_replace(filename, '\\.[^.]*$', ''), '{e}')" for e, n in canonical.SCORES.items() if n < 0) + " OR " + " OR ".join(f"contains(lower(left(content, 500)), '{w}')" for w in canonical.DRAFT_WORDS) + f" OR regexp_matches(filename, '{canonical.DRAFT_NAMES}')"
-    pairs = Q.md_cte("").rstrip() + f""",
-n AS (SELECT filename, {_names_of_sql("regexp_replace(filename, '" + chr(92) + ".[^.]*$', '')")} AS t FROM md),
-p AS (SELECT a.filename AS a, b.filename AS b, len(list_intersect(a.t, b.t)) AS i, len(a.t) + len(b.t) AS s FROM n a JOIN n b ON a.filename < b.filename)
-SELECT a, b, i::DOUBLE / (s - i) AS name_similarity FROM p WHERE i::DOUBLE / (s - i) >= 0.8"""
+    sets = Q.md_cte("").rstrip() + f""",
+n AS (SELECT filename, list_sort({_names_of_sql("regexp_replace(filename, '" + chr(92) + ".[^.]*$', '')")}) AS t FROM md),
+g AS (SELECT t, min(filename) AS first, count(*) AS members FROM n WHERE len(t) > 0 GROUP BY t)"""
+    pairs = sets + f""",
+p AS (SELECT a.first AS a, b.first AS b, len(list_intersect(a.t, b.t)) AS i, len(a.t) + len(b.t) AS s FROM g a JOIN g b ON a.first < b.first)
+SELECT a, b, i::DOUBLE / (s - i) AS name_similarity FROM p WHERE i::DOUBLE / (s - i) >= {canonical.NAMES_AT}"""
     best = Q.md_cte(f"SELECT cluster, doc_id FROM (SELECT doc_id, array_to_string({_SEG}[1:2], '__') AS cluster, row_number() OVER (PARTITION BY array_to_string({_SEG}[1:2], '__') ORDER BY {_score_sql()} DESC, length(content) DESC, filename) AS k FROM md) WHERE k = 1")
     return {
         "filename_segments": (_parsed(lambda d: d.select("doc_id", F.array_join("segments", "|").alias("segments"))), md(f"array_to_string({_SEG}, '|') AS segments")),
         "filename_score": (_parsed(lambda d: d.select("doc_id", "version_score")), md(f"{_score_sql()} AS version_score")),
         "submission_number": (_parsed(lambda d: d.select("doc_id", F.col("submission_number").cast("string").alias("submission_number"))), md(f"list_max(list_transform({rest}, lambda s: {subs}))::VARCHAR AS submission_number")),
-        "doc_identity": (_parsed(lambda d: d.select("doc_id", "doc_identity", canonical.without_version(F.col("doc_identity")).alias("bare"))), None),
+        "doc_identity": (_parsed(lambda d: d.select("doc_id", "doc_identity", canonical.without_version(F.col("doc_identity")).alias("bare"))), Q.md_cte(f"SELECT doc_id, doc_identity, {bare} AS bare FROM (SELECT doc_id, CASE WHEN len({own}) > 0 THEN array_to_string({own}, '__') ELSE {_SEG}[-1] END AS doc_identity FROM md)")),
         "doc_identity_segments": (_parsed(lambda d: d.select("doc_id", "doc_identity")), md(f"CASE WHEN len({own}) > 0 THEN array_to_string({own}, '__') ELSE {_SEG}[-1] END AS doc_identity")),
         "app_groups": (_md(lambda d: d.groupBy(canonical.group_key(F.col("filename")).alias("app_key")).agg(F.count("*").alias("files"))), Q.md_cte("SELECT array_to_string(string_split(regexp_replace(filename, '\\.[^.]*$', ''), '__')[1:2], '__') AS app_key, count(*) AS files FROM md GROUP BY 1")),
         "draft_flags": (_md(lambda d: d.select("doc_id", canonical.is_draft(F.col("filename"), F.col("content")).alias("draft"), canonical.is_webpage(F.col("filename"), F.col("content")).alias("webpage"))), md(f"{draft} AS draft, ends_with(filename, '__webpage.md') AS webpage")),
-        "name_jaccard_pairs": (_md(lambda d: canonical.name_pairs(d, 0.8)), pairs),
+        "name_jaccard_pairs": (_md(canonical.name_links), pairs),
+        "name_members": (_md(canonical.name_members), sets + " SELECT filename, first, members FROM n JOIN g USING (t)"),
         "dup_exact": (lambda spark, sf_dir: canonical.exact_duplicates(fx.table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "doc_id", "text"), "SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first, count(*) OVER (PARTITION BY text) AS copies FROM documents QUALIFY count(*) OVER (PARTITION BY text) > 1"),
         "dup_clusters": (_exact_clusters, _clusters_sql("SELECT node, cluster FROM c")),
         "pick_best": (_best, best),
@@ -495,15 +533,18 @@ WHERE lower(section) = 'key figures' AND len(list_filter(rows, lambda x: {_S("x"
         "dead_links": dead,
     }
     key = "regexp_replace(lower(article), '[^a-z0-9]', '', 'g')"
+    parts["name_collisions"] = f"SELECT x.article FROM (SELECT article, {key} AS k FROM a) x JOIN (SELECT article, {key} AS k FROM a) y ON x.k = y.k AND x.article < y.article"
     stale = {"stale": [{"keywords": ["doc-1"], "hint": "may have changed"}, {"keywords": ["doc"], "require_link": "missing-x"}]}
     now = "(?i)" + "|".join(audit.CONFIG["present_tense"])
     old = " OR ".join(f"contains(lower(body), '{w}')" for w in audit.CONFIG["timeline"])
     stale_sql = _ART + f"SELECT article, CASE WHEN contains(lower(article), 'doc-1') THEN 'may have changed' ELSE 'Uses present tense — may describe a former state' END AS reason FROM a WHERE regexp_matches(body, {Q.quote(now)}) AND NOT ({old}) AND (contains(lower(article), 'doc-1') OR contains(lower(article), 'doc') AND contains(body, '[[missing-x]]'))"
-    out = {f"audit_{k}": (_articles(lambda a, k=k: _check(a, k)), _ART + (v if k != "missing_sections" else v.replace(f"{missing} AS missing", f"array_to_string({missing}, ',') AS missing"))) for k, v in parts.items()}
-    roll = list(parts)
+    parts["stale_content"] = stale_sql.removeprefix(_ART)
+    out = {f"audit_{k}": (_articles(lambda a, k=k: _check(a, k)), _ART + (v if k != "missing_sections" else v.replace(f"{missing} AS missing", f"array_to_string({missing}, ',') AS missing"))) for k, v in parts.items() if k not in ("name_collisions", "stale_content")}
+    roll = [k for k in audit.CHECKS if k in parts]
     return out | {
         "audit_stale_content": (_articles(lambda a: audit.stale_content(a, audit.CONFIG | stale).select("article", "reason")), stale_sql),
-        "audit_rollup": (_articles(lambda a: audit.rollup({k: _check(a, k) for k in roll})), _ART + ", " + _rollup_sql(parts) + " " + " UNION ALL ".join(f"SELECT '{k}' AS check, count(*) AS findings FROM q_{k}" for k in roll)),
+        "audit_rollup_all": (_articles(lambda a: audit.rollup(audit.checks(a, audit.CONFIG | stale))), None),
+        "audit_rollup": (_articles(lambda a: audit.rollup({k: v for k, v in audit.checks(a, audit.CONFIG | stale).items() if k in roll})), _ART + ", " + _rollup_sql(parts) + " " + " UNION ALL ".join(f"SELECT '{k}' AS check, count(*) AS findings FROM q_{k}" for k in roll)),
         "audit_collision_keys": (_articles(audit.same_key_pairs), _ART + f"SELECT x.article AS a, y.article AS b FROM (SELECT article, {key} AS k FROM a) x JOIN (SELECT article, {key} AS k FROM a) y ON x.k = y.k AND x.article < y.article"),
         "audit_near_dup_candidates": (
             lambda spark, sf_dir: audit.near_candidates(fx.table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("article"), F.coalesce("text", F.lit("")).alias("body"))).select(F.least("first", "second").alias("a"), F.greatest("first", "second").alias("b")),
@@ -558,6 +599,26 @@ s AS (SELECT g.slug, g.kind, g.converter, g.status, CASE WHEN g.status <> 'score
 {end}"""
 
 
+_SPEC = [{"name": "pandoc", "extensions": [".docx", ".html"]}, {"name": "reader", "extensions": [".pdf", ".docx", ".xlsx"], "cost_per_page": 0.25}, {"name": "off", "extensions": [".pdf"], "enabled": False}]
+_RENDERED = "slug || CASE doc_id % 5 WHEN 0 THEN '.docx' WHEN 1 THEN '.pdf' WHEN 2 THEN '.scanned.pdf' WHEN 3 THEN '.xlsx' ELSE '.log' END"
+
+
+def _cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = fx.bench_pairs(spark, sf_dir).filter("converter = 'echo'")
+    found = fidelity.cases(b.select("slug", F.col("golden").alias("content")), b.select(F.expr(_RENDERED).alias("name")))
+    return fidelity.runs(found, _SPEC).select("slug", "fmt", "name", "converter", "supported", "pages", "cost_usd")
+
+
+def _cases_sql() -> str:
+    words = "len(list_filter(string_split_regex(golden, '[ \\t\\n\\r\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{a0}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{3000}]+'), lambda x: x <> ''))"
+    on = " UNION ALL ".join(f"SELECT '{c['name']}' AS converter, {Q.array(c['extensions'])} AS extensions, {c.get('cost_per_page', 0.0)}::DOUBLE AS price" for c in _SPEC if c.get("enabled", True))
+    fmt = "CASE doc_id % 5 WHEN 0 THEN 'docx' WHEN 1 THEN 'pdf' WHEN 2 THEN 'pdf_scanned' WHEN 3 THEN 'xlsx' END"
+    return f"""WITH b AS (SELECT * FROM ({fx.BENCH_SQL}) WHERE converter = 'echo'),
+c AS (SELECT slug, {fmt} AS fmt, {_RENDERED} AS name, greatest(1, ceil({words}::DOUBLE / 500))::INT AS pages FROM b WHERE doc_id % 5 < 4),
+o AS ({on})
+SELECT slug, fmt, name, converter, list_contains(extensions, regexp_extract(name, '(\\.[^.]*)$', 1)) AS supported, pages, pages * price AS cost_usd FROM c CROSS JOIN o"""
+
+
 def _fidelity() -> dict:
     mean = "coalesce(avg(links_images) FILTER (status = 'scored'), 0.0)"
     pivot = ", ".join(f"round(avg(links_images) FILTER (converter = '{c}'), 6) AS {c}" for c in _CONVERTERS)
@@ -568,7 +629,10 @@ def _fidelity() -> dict:
         "bench_links_recall": (_bench(lambda d: _cell_score(d).select("slug", "converter", r6("links_images").alias("links_images"))), _bench_sql("SELECT slug, converter, round(links_images, 6) AS links_images FROM s")),
         "bench_rollup": (_bench(roll), _bench_sql(f"SELECT converter, count(*) FILTER (status = 'scored') AS n_scored, count(*) FILTER (status = 'failed') AS n_failed, count(*) FILTER (status = 'unsupported') AS n_unsupported, round({mean}, 6) AS mean, round(count(*) FILTER (status = 'scored')::DOUBLE / count(*), 6) AS coverage, round({mean} * (count(*) FILTER (status = 'scored')::DOUBLE / count(*)), 6) AS overall, {mean} * (count(*) FILTER (status = 'scored')::DOUBLE / count(*)) >= 0.7 AS passed FROM s GROUP BY converter")),
         "bench_kind_pivot": (_bench(lambda d: fidelity.by_kind(_cell_score(d), _CONVERTERS, "links_images").select("kind", *(r6(c).alias(c) for c in _CONVERTERS))), _bench_sql(f"SELECT kind, {pivot} FROM s WHERE status = 'scored' GROUP BY kind")),
-        "bench_best": (_bench(lambda d: fidelity.best(roll(d))), None),
+        "bench_best": (_bench(lambda d: fidelity.best(roll(d))), _bench_sql(f"SELECT converter FROM (SELECT converter, round({mean} * (count(*) FILTER (status = 'scored')::DOUBLE / count(*)), 6) AS overall FROM s GROUP BY converter) ORDER BY overall DESC, converter LIMIT 1")),
+        "bench_rollup_weighted": (_bench(lambda d: fidelity.rollup(fidelity.scored(d)).withColumns({c: r6(c) for c in ("mean", "coverage", "overall")})), None),
+        "bench_kind_pivot_weighted": (_bench(lambda d: fidelity.by_kind(fidelity.scored(d), _CONVERTERS).select("kind", *(r6(c).alias(c) for c in _CONVERTERS))), None),
+        "bench_runs": (_cases, _cases_sql()),
         "bench_pages": (_md(lambda d: d.select("doc_id", fidelity.pages(F.col("content")).alias("pages"))), Q.md_cte("SELECT doc_id, greatest(1, ceil(len(list_filter(string_split_regex(content, '[ \\t\\n\\r\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{a0}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{3000}]+'), lambda x: x <> ''))::DOUBLE / 500))::INT AS pages FROM md")),
         "bench_slug_parts": (_bench(lambda d: d.select("slug", fidelity.slug_parts(F.col("slug")).alias("p")).distinct().select("slug", "p.funder", "p.kind", "p.number")), f"WITH b AS ({fx.BENCH_SQL}) SELECT DISTINCT slug, string_split(slug, '-')[1] AS funder, kind, regexp_extract(slug, '([0-9]+)$', 1)::INT AS number FROM b"),
         "bench_text_score": (_bench(lambda d: fidelity.scored(d, ("text",)).select("slug", "converter", "text")), None),
@@ -630,15 +694,25 @@ round(sum({seconds}::DOUBLE / 60), 2) AS serial_minutes, round(sum({seconds}::DO
     c = "(doc_id % 5 * 0.01)::DOUBLE + CASE WHEN tier = 'full' THEN 0.02 ELSE 0 END"
     msum = f"SELECT dimension, value, count(*) AS files, round(sum(c), 4) AS cost_usd FROM (SELECT 'total' AS dimension, 'all' AS value, {c} AS c FROM k UNION ALL SELECT 'status', status, {c} FROM k UNION ALL SELECT 'tier', tier, {c} FROM k UNION ALL SELECT 'funder', coalesce(funder, '?'), {c} FROM k) GROUP BY ALL"
     answers = Q.with_front(f"SELECT filename, 1 AS expected FROM fm WHERE block IS NOT NULL AND {y} >= 0").replace("1 AS expected", "1 AS answered")
+    # hexadecimal digits leave what their number leaves, divided by 3
+    hashed = "(1 + list_sum(list_transform(string_split(md5(filename), ''), lambda c: instr('0123456789abcdef', c) - 1)) % 3)::INT"
+    totals = f"SELECT {', '.join(f'count(*) FILTER (p = {k}) AS priority_{k}' for k in prioritize.RUBRIC)}, 0::BIGINT AS errors FROM (SELECT {hashed} AS p FROM fm WHERE block IS NOT NULL AND {y} >= 0)"
+    how = "CASE tier WHEN 'full' THEN length('Rewrite with a clean hierarchy of headings.') WHEN 'light' THEN length('Correct headings and remove noise; keep the wording.') ELSE length('Add frontmatter; keep the text.') END"
+    meta = "length(concat_ws(chr(10), 'Funder: ' || funder, 'Document type: ' || coalesce(types[1], 'unknown')))"
+    asked = f"({how} + 2 + {meta} + 2 + {len(DOCUMENT)} + 2 + length(content))"
+    rewritten = f"SELECT status, count(*) AS files, sum(i)::BIGINT AS input_tokens, sum(o)::BIGINT AS output_tokens, sum(i::DOUBLE / 1e6 * 0.14 + o::DOUBLE / 1e6 * 0.28) AS cost_usd FROM (SELECT status, floor({asked}::DOUBLE / 3.5)::BIGINT AS i, floor(length(content)::DOUBLE / 3.5)::BIGINT AS o FROM k WHERE tier <> 'skip') GROUP BY status"
     crit = evaluate.Criteria(must_contain=["attendance"], should_contain=["grant"], min_years_found=2, min_facts=1, word_count_range=(100, 5000))
     return {
         "priority_groups": (_md(lambda d: prioritize.year_groups(d, by_funder=True).groupBy("group_key").agg(F.count("*").alias("files"))), Q.with_front(f"SELECT {key} AS group_key, count(*) AS files FROM fm WHERE block IS NOT NULL GROUP BY 1")),
         "priority_batches": (_md(lambda d: prioritize.batches(prioritize.year_groups(d, by_funder=True), 20).select("doc_id", "batch")), Q.with_front(batch)),
         "priority_validate": (lambda spark, sf_dir: _answers(spark, sf_dir).filter("error is null").select("filename", F.when(F.col("priority").between(1, 3), 1).otherwise(0).alias("answered")), answers),
-        "priority_totals": (lambda spark, sf_dir: prioritize.totals(_answers(spark, sf_dir)), None),
+        "priority_totals": (lambda spark, sf_dir: prioritize.totals(_answers(spark, sf_dir)), Q.with_front(totals)),
+        "priority_answers": (lambda spark, sf_dir: _answers(spark, sf_dir).filter("error is null").select("filename", "priority"), Q.with_front(f"SELECT filename, {hashed} AS priority FROM fm WHERE block IS NOT NULL AND {y} >= 0")),
+        "priority_dryrun": (_md(lambda d: prioritize.dry_run(prioritize.year_groups(d, by_funder=True))), Q.with_front(f"SELECT coalesce(group_key, 'TOTAL') AS group_key, sum(files)::BIGINT AS files, sum(chars)::BIGINT AS chars, (sum(chars) // 3)::BIGINT AS tokens, round((sum(chars) // 3)::DOUBLE / 1e6 * 0.14, 6) AS in_usd FROM (SELECT {key} AS group_key, count(*) AS files, count(*) * {prioritize.DIGEST_CHARS} + 2000 AS chars FROM fm WHERE block IS NOT NULL GROUP BY 1) GROUP BY ROLLUP (group_key)")),
+        "priority_first_groups": (_md(lambda d: prioritize.order_groups(prioritize.year_groups(d, by_funder=True).groupBy("group_key").agg(F.count("*").alias("files"))).limit(5)), Q.with_front(f"SELECT * FROM (SELECT {key} AS group_key, count(*) AS files FROM fm WHERE block IS NOT NULL GROUP BY 1) ORDER BY starts_with(group_key, '0') DESC, group_key DESC LIMIT 5")),
         "digest": (_md(lambda d: d.select("doc_id", prioritize.digest(F.col("content")).alias("digest"))), _digest_sql()),
         "rewrite_dryrun_rollup": (_md(lambda d: rewrite.dry_run(_classified(d).withColumn("size_kb", F.octet_length("content") / 1024))), md + _classified_sql(dry)),
-        "rewrite_stub_summary": (_rewritten, None),
+        "rewrite_stub_summary": (_rewritten, md + _classified_sql(rewritten)),
         "manifest_upsert": (_upserted, Q.md_cte("SELECT m.filename, CASE WHEN kind = 'report' AND funder_code <> 'OAC' THEN 'ok' ELSE 'pending' END AS status, 'minimal' AS tier, CASE WHEN kind = 'report' AND funder_code <> 'OAC' THEN 0.5::DOUBLE END AS cost_usd FROM md m UNION ALL SELECT filename || '.new', 'ok', NULL, 0.5::DOUBLE FROM md WHERE kind = 'report' AND funder_code = 'OAC'")),
         "manifest_summary": (lambda spark, sf_dir: manifest.summary(_manifest(spark, sf_dir)), md + _classified_sql(msum)),
         "scenario_evaluate": (_md(lambda d: evaluate.evaluated(d.select("doc_id", "content"), "content", crit).select("doc_id", "years_found", "facts_found", "passed")), Q.md_cte("").rstrip() + r""",
@@ -672,6 +746,64 @@ def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
 _EVENTS_SQL = "SELECT strftime(time_bucket(INTERVAL '1 day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS events, round(sum(value), 4) AS value FROM events GROUP BY 1, 2"
 
 
+def _reporting() -> dict:
+    from .plans.pipeline import ingest_warnings
+    from .sources.providers import search, vector_search
+
+    issues = Q.with_front("""SELECT issue_type, filename, place, greatest(n - 10, 0) AS more FROM (SELECT *, row_number() OVER (PARTITION BY issue_type ORDER BY filename, field) AS place, count(*) OVER (PARTITION BY issue_type) AS n FROM i) WHERE place <= 10""", _issues_sql().replace("' AS issue_type FROM v WHERE", "' AS issue_type, '' AS field FROM v WHERE"))
+    known = ", ".join(sorted(FUNDERS))
+    warned = Q.md_cte(f"""SELECT filename, 'Unrecognized funder "' || f || '". Known: {known}' AS warning FROM (SELECT filename, CASE WHEN doc_id % 19 = 0 THEN 'XYZ' ELSE funder_code END AS f FROM md) WHERE f = 'XYZ'
+UNION ALL SELECT filename, 'Unrecognized type "' || kind || '"' FROM md WHERE kind IN ('activity_list', 'staff_board') UNION ALL SELECT filename, 'Unrecognized type "memo"' FROM md WHERE doc_id % 7 = 0""")
+    kinds = ["application", "report", "budget", "notification"]
+    new = lambda d: d.select("filename", F.when(F.col("doc_id") % 19 == 0, "XYZ").otherwise(F.col("funder_code")).alias("funder"), F.array_compact(F.array("kind", F.when(F.col("doc_id") % 7 == 0, "memo"))).alias("types"))
+    states = lambda d: reports.stage_states({"raw": d, "markdown": d.filter("doc_id % 3 > 0"), "clean": d.filter("doc_id % 3 > 0"), "rewritten": d.limit(0), "published": None})
+    counts = "n AS (SELECT count(*) AS a, count(*) FILTER (doc_id % 3 > 0) AS b FROM md)"
+    state_sql = Q.md_cte("").rstrip() + f""", {counts}
+SELECT 'dir: raw' AS check, 'ok' AS status, 'raw exists (' || a || ' files)' AS message FROM n UNION ALL SELECT 'dir: markdown', 'ok', 'markdown exists (' || b || ' files)' FROM n UNION ALL SELECT 'dir: clean', 'ok', 'clean exists (' || b || ' files)' FROM n
+UNION ALL SELECT 'dir: rewritten', 'ok', 'rewritten exists (0 files)' UNION ALL SELECT 'dir: published', 'warn', 'published does not exist'
+UNION ALL SELECT 'pipeline', 'ok', 'markdown ' || b || ' files (of ' || a || ' in raw)' FROM n UNION ALL SELECT 'pipeline', 'warn', 'clean has ' || b || ' files but rewritten is empty' FROM n"""
+    template = F.lit("Dear {funder}, your {kind} of {year} {braces} {nobody} {")
+    filled = "'Dear ' || funder_code || ', your ' || kind || ' of ' || year_code || ' {year} {nobody} {'"
+    results = lambda d: d.select("filename", F.when(F.col("doc_id") % 9 == 0, "failed").otherwise("ok").alias("status"), F.when(F.col("doc_id") % 9 == 0, F.concat(F.lit("error "), F.col("kind"))).alias("error"))
+    seconds = "n_chars::DOUBLE / 7.0 - 10.0"
+    timed = f"CASE WHEN s < 0.5 THEN format('{{:.0f}}ms', s * 1000) WHEN s < 60 THEN format('{{:.1f}}s', s) WHEN s < 3600 THEN floor(s / 60)::BIGINT || 'm ' || floor(s % 60)::BIGINT || 's' ELSE floor(s / 3600)::BIGINT || 'h ' || floor(s % 3600 / 60)::BIGINT || 'm' END"
+    vectors = f"""WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e, list_transform(range(len(embedding)), lambda i: CASE WHEN i % 2 = 0 THEN 1.0 ELSE -1.0 END)::DOUBLE[] AS q FROM embeddings)
+SELECT vec_id, round(list_dot_product(e, q) / (sqrt(list_dot_product(e, e)) * sqrt(list_dot_product(q, q))), 6) AS score FROM v ORDER BY list_dot_product(e, q) / (sqrt(list_dot_product(e, e)) * sqrt(list_dot_product(q, q))) DESC, vec_id LIMIT 10"""
+    terms = "['in', 'tion']"
+    bm25 = f"""WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}_]+'), lambda w: w <> '') AS w FROM documents),
+c AS (SELECT count(*) AS docs, avg(len(w)) AS mean FROM d),
+h AS (SELECT doc_id, len(w) AS n, t, len(list_filter(w, lambda x: x = t)) AS tf FROM d, (SELECT unnest({terms}) AS t) WHERE list_contains(w, t)),
+f AS (SELECT t, count(*) AS df FROM h GROUP BY t)
+SELECT doc_id, round(sum(ln(1 + (docs - df + 0.5)::DOUBLE / (df + 0.5)::DOUBLE) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * n / mean))), 6) AS score FROM h JOIN f USING (t), c GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 10"""
+
+    def vector_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = fx.table(spark, sf_dir, "embeddings")
+        size = len(rows.select("embedding").first()[0])
+        return vector_search(rows, "vec_id", "embedding", [1.0 if i % 2 == 0 else -1.0 for i in range(size)]).withColumn("score", F.round("score", 6))
+
+    return {
+        "findings_shown": (_md(lambda d: reports.shown(_issues(d).select("issue_type", "filename"), "issue_type", "filename").select("issue_type", "filename", "place", "more")), issues),
+        "validate_sample": (_md(lambda d: reports.sample(d.select("filename"), 20, "filename", seed=42)), Q.md_cte("SELECT filename FROM md ORDER BY md5('42:' || filename), filename LIMIT 20")),
+        "validate_tier": (_md(lambda d: _issues(manifest.subset(d, _classified(d).filter("tier = 'full'"))).groupBy("issue_type").agg(F.count("*").alias("issues"))), _tier_sql()),
+        "first_failures": (_md(lambda d: reports.first_failures(results(d))), Q.md_cte("SELECT filename, 'error ' || kind AS error FROM md WHERE doc_id % 9 = 0 ORDER BY filename LIMIT 20")),
+        "stage_states": (_md(states), state_sql),
+        "state_summary": (_md(lambda d: reports.by_status(states(d))), "SELECT unnest(['ok', 'warn', 'error', 'info']) AS status, unnest([5, 2, 0, 0])::BIGINT AS checks"),
+        "ingest_warnings": (_md(lambda d: ingest_warnings(new(d), FUNDERS, kinds)), warned),
+        "template_fill": (_md(lambda d: d.select("doc_id", MD.filled(template, {"funder": F.col("funder_code"), "kind": F.col("kind"), "year": F.col("year_code"), "braces": F.lit("{year}")}).alias("text")).withColumn("left", F.array_join(MD.unfilled(F.col("text")), ","))), Q.md_cte(f"SELECT doc_id, {filled} AS text, 'nobody,year' AS \"left\" FROM md")),
+        "abbreviations": (_md(lambda d: d.select("doc_id", MD.abbreviation(F.translate("kind", "_", " ")).alias("short"))), Q.md_cte("SELECT doc_id, CASE WHEN contains(kind, '_') THEN upper(left(kind, 1) || left(string_split(kind, '_')[2], 1)) ELSE upper(left(kind, 3)) END AS short FROM md")),
+        "human_times": (lambda spark, sf_dir: fx.table(spark, sf_dir, "documents").select("doc_id", MD.human_time(F.greatest(F.lit(0.0), F.col("n_chars") / 7.0 - 10.0)).alias("time")), f"SELECT doc_id, {timed} AS time FROM (SELECT doc_id, greatest(0.0::DOUBLE, {seconds}) AS s FROM documents)"),
+        "markdown_blocks": (_md(lambda d: d.select("doc_id", F.explode(MD.blocks(F.col("content"))).alias("b")).groupBy("doc_id", "b.kind").agg(F.count("*").alias("blocks"))), None),
+        "table_cells": (_md(lambda d: MD.table_cells(d, "doc_id", "content").select("doc_id", "section", "row", F.array_join("cells", "|").alias("cells"))), Q.md_cte("SELECT doc_id, section, unnest([0, 1, 2])::INT AS row, unnest(['Item|Cost', 'Hall|' || doc_id, 'Staff|A1A 1A1']) AS cells FROM (SELECT doc_id, trim(regexp_extract_all(split_part(content, chr(10) || '| Item | Cost |', 1), '(?m)^#{1,6}[ \\t]+(.*)$', 1)[-1]) AS section FROM md WHERE doc_id % 22 = 0)")),
+        "vector_top": (vector_top, vectors),
+        "search_bm25": (lambda spark, sf_dir: search(fx.table(spark, sf_dir, "documents"), "doc_id", "text", "in tion").withColumn("score", F.round("score", 6)), bm25),
+    }
+
+
+def _tier_sql() -> str:
+    front = Q.with_front("SELECT issue_type, count(*) AS issues FROM i WHERE filename IN (SELECT filename FROM k WHERE tier = 'full') GROUP BY 1", _issues_sql())
+    return front.replace("\nSELECT issue_type, count(*) AS issues FROM i", ",\n" + _classified_sql("SELECT issue_type, count(*) AS issues FROM i"), 1)
+
+
 def _plans() -> dict:
     return {
         "convert_pages": (_converted, None),
@@ -682,4 +814,4 @@ def _plans() -> dict:
 
 def catalogue() -> dict:
     """Name -> (query, oracle SQL or None)."""
-    return _classifying() | _cleaning() | _scanning() | _frontmatter() | _validating() | _private() | _versions() | _auditing() | _fidelity() | _planning() | _plans()
+    return _classifying() | _cleaning() | _scanning() | _frontmatter() | _validating() | _private() | _versions() | _auditing() | _fidelity() | _planning() | _reporting() | _plans()

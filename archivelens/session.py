@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 #: AQE splits skewed partitions and coalesces small ones; UTC keeps dates comparable; Arrow moves batches to Python.
@@ -23,3 +25,16 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, **
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where it is unset on one machine, as in tests."""
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    if given:
+        return given.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='archivelens-')}")
+    return context.getCheckpointDir()

@@ -33,7 +33,7 @@ def listing(spark: SparkSession, path: str, extensions: list[str] | None = EXTEN
 
 def texts(spark: SparkSession, path: str, pattern: str = "*.md") -> DataFrame:
     """filename, filepath and content of text files below a folder, one row each."""
-    d = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(_checked(path))
+    d = spark.read.text(_checked(path), wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
     return d.select(_name(F.col("_metadata.file_path")).alias("filename"), F.col("_metadata.file_path").alias("filepath"), F.col("value").alias("content"))
 
 

@@ -6,7 +6,6 @@ documents of the applications that it touches, in ``foreachBatch``; everything e
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -14,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import canonical, website
+from ..session import shared_folder
 
 
 def file_stream(spark: SparkSession, folder: str, schema: str, form: str = "parquet", per_trigger: int | None = None) -> DataFrame:
@@ -44,15 +44,14 @@ def page_stream(pages: DataFrame, org: str, late: str = "7 days") -> DataFrame:
 def events_by_window(spark: SparkSession, path: str, window: str = "1 day") -> DataFrame:
     """Events and values by day and type, worked off as a stream; equals the batch aggregate.
 
-    The result is in memory, of as many rows as there are days and types.
+    Each batch replaces the table of all windows so far, in the folder that executors share, where the stream's state is too.
     """
     schema = spark.read.parquet(path).schema
     folder, name = path.rsplit("/", 1)
     events = spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder if path.endswith(".parquet") else path)
     events = events.withColumn("ts", events["ts"].cast("timestamp"))  # files may hold times without a zone
     by = events.withWatermark("ts", "1 hour").groupBy(F.window("ts", window).alias("w"), "event_type").agg(F.count("*").alias("events"), F.sum("value").alias("value"))
-    table = f"events_{uuid.uuid4().hex}"
-    with tempfile.TemporaryDirectory() as checkpoint:  # an in-memory sink has no state to come back to
-        query = by.writeStream.format("memory").queryName(table).outputMode("complete").option("checkpointLocation", f"file://{checkpoint}").trigger(availableNow=True).start()
-        query.awaitTermination()
-    return spark.table(table).select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "event_type", "events", F.round("value", 4).alias("value"))
+    place = f"{shared_folder(spark)}/events-{uuid.uuid4().hex}"
+    query = by.writeStream.outputMode("complete").foreachBatch(lambda rows, _: rows.write.mode("overwrite").parquet(f"{place}/table")).option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.parquet(f"{place}/table").select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "event_type", "events", F.round("value", 4).alias("value"))
