@@ -18,13 +18,17 @@ CATEGORIES = [
     "documentation$", "activity_lists?$", "supplementary$", "attachments", "confirmation", "submitted$", "final_submission$", "final_report", "mid-cycle_report",
     "submission_confirm", "press$", "promo$", "equipment",
 ]
-#: Ends of file names and what they add to a version's score; upper and lower case matter.
-SCORES = {
-    "_final": 100, "_FINAL": 100, "_Final": 100, "_submitted": 90, "_SUBMITTED": 90, "_Submitted": 90, "_signed": 85, "_updated": 5, "_corrected": 5,
+#: Ends of file names and what they add to a version's score, by number where there is one; upper and lower case matter.
+VERSION_ENDS = {
+    "_final": 100, "_FINAL": 100, "_Final": 100, "_submitted": 90, "_SUBMITTED": 90, "_Submitted": 90, "_signed": 85, r"_v(\d+)": 10, r"_V(\d+)": 10, "_updated": 5, "_corrected": 5,
+}
+#: Ends of file names of drafts, and what they take off.
+DRAFT_ENDS = {
     "_draft": -50, "_DRAFT": -50, "_prep": -50, "_PREP": -50, "_working": -50, "_WORKING": -50, "_todo": -50, "_ToDo": -50, "_notes": -30, "_Notes": -30,
     "_copy": -30, "_Copy": -30, "_edit": -30, "_EDIT": -30, "_blank": -30, "_short": -20, "_small": -20,
 }
-NUMBERED = {r"_v(\d+)$": 10, r"_V(\d+)$": 10}
+SCORES = {e: n for e, n in (VERSION_ENDS | DRAFT_ENDS).items() if "(" not in e}
+NUMBERED = {e + "$": n for e, n in VERSION_ENDS.items() if "(" in e}
 DRAFT_NAMES = r"(?i)_(?:draft|prep|working|todo)(?:_|\.)"
 DRAFT_WORDS = ["draft", "work in progress", "not final", "pending review"]
 MATCH_AT, DUPLICATE_AT, NAMES_AT = 0.45, 0.70, 0.25

@@ -1,19 +1,16 @@
 """Deterministic Markdown clean-up: an ordered list of string -> string passes (inventory C1-C17).
 
-Each pass is a Column function.  All but three stay in the JVM; form fields, numeric entities and
-capitalised headings follow rules that Spark's functions can't express, so they run in Arrow batches.
+Each pass is a Column function of Spark's own functions, so a whole clean-up stays in the JVM.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.arrow import text_pass
 
 #: Headings that belong to a form and not to its text.
 FORM_HEADINGS = [
@@ -27,12 +24,10 @@ FORM_HEADINGS = [
     r"^#{1,6}\s+Application\s+(?:Preview|ID|Number)",
     r"^#{1,6}\s+Voluntary\s+Self.Identification",
 ]
-#: Labels of form fields, and what a field's value looks like.
-FIELD_LABELS = [
-    r"(?:Applicant\s+)?Organization\s*(?:or\s+Collective\s+Name)?", "Address", r"Postal\s+Code", r"Telephone\s+Primary", "Website", r"CADAC\s+ID",
-    r"Incorporation\s+Status", r"Charitable\s+Tax\s+Status", r"Application\s+Contact", "Email", r"File\s+Number", r"Portal\s+Account\s+ID", "Date",
-]
-FIELD_VALUES = [r"\d[\d\s-]*\d", r"[\w.-]+@[\w.-]+", r"https?://[\w./-]+", r"M\d[A-Z]\s*\d[A-Z]\d", r"Incorporated\s+since\s+\d{4}", r"Yes\s+\d[\d-]+[A-Z]{2}\d+"]
+#: Fixed value: the label of a form field, alone on its line.
+FIELD_LABEL = r"^(?:(?:Applicant\s+)?Organization\s*(?:or\s+Collective\s+Name)?|Address|Postal\s+Code|Telephone\s+Primary|Website|CADAC\s+ID|Incorporation\s+Status|Charitable\s+Tax\s+Status|Application\s+Contact|Email|File\s+Number|Portal\s+Account\s+ID|Date)\s*:\s*$"
+#: Fixed value: what a form field's value looks like.
+FIELD_VALUE = r"^(?:\d[\d\s-]*\d|[\w.-]+@[\w.-]+|https?://[\w./-]+|M\d[A-Z]\s*\d[A-Z]\d|Incorporated\s+since\s+\d{4}|Yes\s+\d[\d-]+[A-Z]{2}\d+)\s*$"
 #: Words that stay small in a heading.
 SMALL_WORDS = ["Of", "And", "The", "For", "To", "In", "At", "On", "With", "A", "An"]
 
@@ -68,56 +63,53 @@ def without_headings(patterns: list[str]) -> Callable[[Column], Column]:
     return run
 
 
-_LABEL = re.compile(r"^(?:" + "|".join(FIELD_LABELS) + r")\s*:\s*$", re.IGNORECASE)
-_VALUE = re.compile(r"^(?:" + "|".join(FIELD_VALUES) + r")\s*$", re.IGNORECASE)
+def form_fields(t: Column) -> Column:
+    """Labels go, with a value right below; of further values that follow one another the first stays."""
+    label = lambda x: X.strip(x).rlike("(?iU)" + FIELD_LABEL)
+    value = lambda x: X.strip(x).rlike("(?iU)" + FIELD_VALUE)
+    # each step's lines are bound as a lambda's variable, so that a line can look at the one before
+    bound = lambda xs, test: F.get(F.transform(F.array(xs), lambda ls: F.filter(ls, lambda x, i: test(ls, x, i))), 0)
+    bare = bound(X.lines(t), lambda ls, x, i: ~label(x) & ~(value(x) & label(X.before(ls, i))))
+    return F.when(t.isNotNull(), X.unlines(bound(bare, lambda ls, x, i: ~(value(x) & value(X.before(ls, i))))))
 
 
-def drop_fields(text: str) -> str:
-    """Labels go, with a value right below; further values go below a value that stayed."""
-    kept: list[str] = []
-    below_label = False
-    for line in text.split("\n"):
-        bare = line.strip()
-        if _LABEL.match(bare):
-            below_label = True
-            continue
-        is_value = bool(_VALUE.match(bare))
-        if is_value and (below_label or (kept and _VALUE.match(kept[-1].strip()))):
-            below_label = False
-            continue
-        below_label = False
-        kept.append(line)
-    return "\n".join(kept)
+def _entities(t: Column, pattern: str, base: int) -> Column:
+    """``t`` with numeric entities of one base as characters; what is no character stays as it is."""
+    parts = F.regexp_extract_all(t, F.lit(pattern + r"|[^&]+|&"), F.lit(0))
 
+    def char(p: Column) -> Column:
+        digits = F.regexp_extract(p, pattern, 1)
+        n = F.when(F.length(digits) <= 8, F.conv(digits, base, 10).cast("bigint"))
+        known = (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+        c = F.when(n == 0xFEFF, "\ufeff").otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+        return F.when(p.rlike("^" + pattern + "$") & F.coalesce(known, F.lit(False)), c).otherwise(p)
 
-def decode_entities(text: str) -> str:
-    """Numeric entities only, hexadecimal ones first; what is no character stays as it is."""
+    return F.array_join(F.transform(parts, char), "")
 
-    def char(base: int) -> Callable[[re.Match], str]:
-        def put(m: re.Match) -> str:
-            n = int(m[1], base)
-            return chr(n) if n <= 0x10FFFF and not 0xD800 <= n <= 0xDFFF else m[0]
 
-        return put
+def numeric_entities(t: Column) -> Column:
+    """Numeric entities only, hexadecimal ones first."""
+    some = _entities(_entities(t, "&#x([0-9a-fA-F]+);", 16), "&#([0-9]+);", 10)
+    return F.when(F.contains(t, F.lit("&#")), some).otherwise(t)
 
-    return re.sub(r"&#(\d+);", char(10), re.sub(r"&#x([0-9a-fA-F]+);", char(16), text))
 
+def _titled(title: Column) -> Column:
+    """Each run of letters begins with a capital, and small words stay small."""
+    runs = F.transform(F.regexp_extract_all(title, F.lit(r"\p{LC}+|\P{LC}+"), F.lit(0)), lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.lower(w.substr(F.lit(2), F.length(w)))))
+    words = F.regexp_extract_all(F.array_join(runs, ""), F.lit(r"(?U)\w+|\W+"), F.lit(0))
+    return F.array_join(F.transform(words, lambda w: F.when(F.lower(w).isin([x.lower() for x in SMALL_WORDS]), F.lower(w)).otherwise(w)), "")
 
-def calm_heading(line: str) -> str:
-    """A heading of more than 70 % capitals in title case, with small words small."""
-    m = re.match(r"^(#{1,6})\s+(.+)$", line.strip())
-    if not line.strip().startswith("#") or not m:
-        return line
-    title = m[2]
-    letters = [c for c in title if c.isalpha()]
-    if letters and sum(c.isupper() for c in letters) > 0.7 * len(letters):
-        title = re.sub(r"\b(?:" + "|".join(SMALL_WORDS) + r")\b", lambda w: w[0].lower(), title.title(), flags=re.IGNORECASE)
-    return f"{m[1]} {title}"
 
+def capital_headings(t: Column) -> Column:
+    """Headings of more than 70 % capitals in title case, with small words small; the space behind the signs is one blank."""
+    pattern = r"(?U)^(#{1,6})\s+(.+)$"
 
-form_fields = text_pass(drop_fields)
-numeric_entities = text_pass(decode_entities)
-capital_headings = text_pass(lambda t: "\n".join(map(calm_heading, t.split("\n"))))
+    def line(x: Column) -> Column:
+        title = F.regexp_extract(X.strip(x), pattern, 2)
+        letters, capitals = F.regexp_count(title, F.lit(r"\p{L}")), F.regexp_count(title, F.lit(r"\p{Lu}"))
+        return F.when(X.strip(x).rlike(pattern), F.concat(F.regexp_extract(X.strip(x), pattern, 1), F.lit(" "), F.when(capitals > 0.7 * letters, _titled(title)).otherwise(title))).otherwise(x)
+
+    return F.when(t.isNotNull(), X.unlines(F.transform(X.lines(t), line)))
 
 
 def split_words(t: Column) -> Column:

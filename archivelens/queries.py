@@ -87,15 +87,29 @@ def _heading_sql() -> str:
 
 
 def _cleaning() -> dict:
-    ascii_only = lambda c: F.regexp_replace(c, r"[^\x00-\x7F]", "~")  # noqa: E731  accented letters are no word characters to the oracle
     widgets = Q.md_cte(r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(content, '(?m)^\[[ xX]\]\s*', '', 'g'), '(?m)^[☐☑]\s*', '', 'g'), '(?im)^Total\s+Files?\s*:\s*\d+\s*$', '', 'g') AS content FROM md")
-    words = "regexp_replace(content, '[^\\x00-\\x7F]', '~', 'g')"
+    # accented letters are no word characters to the oracle, so they become digits between underscores and come back
+    letters = Q.array([chr(c) for c in range(192, 384) if c not in (215, 247)])
+    number = lambda c: f"'_' || unicode({c}) || '_'"
+    words = f"list_reduce(list_prepend(content, {letters}), lambda t, c: replace(t, c, {number('c')}))"
     for _ in range(5):
         words = f"regexp_replace({words}, '\\b([a-zA-Z]{{1,3}}) ([a-zA-Z]{{1,3}})\\b', '\\1\\2', 'g')"
+    words = f"list_reduce(list_prepend({words}, {letters}), lambda t, c: replace(t, {number('c')}, c))"
+    codes = lambda t, p: f"list_prepend({t}, list_distinct(regexp_extract_all(content, '{p}', 1)))"
+    entities = f"list_reduce({codes('content', '&#x([0-9a-fA-F]+);')}, lambda t, c: replace(t, '&#x' || c || ';', chr(('0x' || c)::INT)))"
+    entities = f"list_reduce({codes(entities, '&#([0-9]+);')}, lambda t, c: replace(t, '&#' || c || ';', chr(c::INT)))"
+    title = f"regexp_extract({_S('x')}, '^(#{{1,6}})\\s+(.+)$', 2)"
+    few = Q.array([w.lower() for w in cleaner.SMALL_WORDS])
+    titled = f"array_to_string(list_transform(string_split({title}, ' '), lambda w: CASE WHEN list_contains({few}, lower(w)) THEN lower(w) ELSE upper(w[1]) || lower(w[2:]) END), ' ')"
+    counted = lambda kind: f"length(regexp_replace({title}, '[^\\p{{{kind}}}]', '', 'g'))"
+    capitals = f"CASE WHEN {title} <> '' THEN regexp_extract({_S('x')}, '^#+') || ' ' || CASE WHEN {counted('Lu')} > 0.7 * {counted('L')} THEN {titled} ELSE {title} END ELSE x END"
+    label, value = (lambda x, p=p: f"regexp_matches({_S(x)}, {Q.quote('(?i)' + p)})" for p in (cleaner.FIELD_LABEL, cleaner.FIELD_VALUE))
+    bare = Q.keep(Q.lines(), f"NOT {label('x')} AND NOT ({value('x')} AND i > 1 AND {label(Q.lines() + '[i - 1]')})")
+    fields = f"(SELECT {Q.join(Q.keep('ls', 'NOT (' + value('x') + ' AND i > 1 AND ' + value('ls[i - 1]') + ')'))} FROM (SELECT {bare} AS ls))"
     return {
         "clean_images": (_pass(lambda c: cleaner.image_marks(cleaner.embedded_images(c))), _cleaned(r"regexp_replace(regexp_replace(regexp_replace(content, '!\[Image\]\(data:image/\w+;base64,[A-Za-z0-9+/=]+\)', '[IMAGE]', 'g'), '(?i)<!--\s*image\s*-->', '', 'g'), '(?m)^\[IMAGE\]\s*$', '', 'g')")),
         "clean_whitespace": (_pass(cleaner.white_space), _cleaned(_ws_sql("content"))),
-        "clean_split_words": (_pass(lambda c: cleaner.split_words(ascii_only(c))), _cleaned(words)),
+        "clean_split_words": (_pass(cleaner.split_words), _cleaned(words)),
         "clean_chrome_headings": (_pass(cleaner.without_headings(cleaner.FORM_HEADINGS)), _cleaned(_heading_sql())),
         "clean_lone_letters": (_pass(cleaner.lone_letters), _cleaned(_lone_sql("content", "[a-zA-Z]", True))),
         "clean_lone_digits": (_pass(cleaner.lone_digits), _cleaned(_lone_sql("content", "\\p{Nd}{1,4}", False))),
@@ -104,9 +118,9 @@ def _cleaning() -> dict:
         "clean_qa_split": (_pass(cleaner.questions), _cleaned(_questions_sql())),
         "clean_paren_notes": (_pass(cleaner.heading_notes), _cleaned(_notes_sql())),
         "clean_widgets": (_pass(cleaner.form_widgets), widgets),
-        "clean_entities": (_pass(cleaner.numeric_entities), _cleaned("replace(replace(content, '&#8211;', chr(8211)), '&#x41;', 'A')")),
-        "clean_caps_headings": (_pass(cleaner.capital_headings), _cleaned("replace(content, '## FINANCIAL SUMMARY OF THE YEAR', '## Financial Summary of the Year')")),
-        "clean_form_fields": (_pass(cleaner.form_fields), None),
+        "clean_entities": (_pass(cleaner.numeric_entities), _cleaned(entities)),
+        "clean_caps_headings": (_pass(cleaner.capital_headings), _cleaned(Q.join(f"list_transform({Q.lines()}, lambda x: {capitals})"))),
+        "clean_form_fields": (_pass(cleaner.form_fields), _cleaned(fields)),
         "clean_full": (_md(lambda d: cleaner.clean(d.select("doc_id", "content"))), None),
     }
 

@@ -45,6 +45,38 @@ def test_clean_can_leave_fixes_out(spark):
     assert cleaner.clean(d).first()["content"] == "this A\n"
 
 
+def test_form_fields_against_lines(spark):
+    """One line at a time: a label goes with a value right below; a value below a value that stayed goes."""
+    import random
+    import re
+
+    rng = random.Random(2)
+    label, value = re.compile(cleaner.FIELD_LABEL, re.IGNORECASE), re.compile(cleaner.FIELD_VALUE, re.IGNORECASE)
+    texts = ["\n".join(rng.choice(["Address:", "  email :", "12 34", "a@b.c", "http://x.y", "words", "", "Date: x"]) for _ in range(rng.randint(0, 12))) for _ in range(300)]
+    got = [r["t"] for r in spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", cleaner.form_fields(F.col("t")).alias("t")).orderBy("i").collect()]
+    for text, found in zip(texts, got, strict=True):
+        kept, label_above = [], False
+        for x in text.split("\n"):
+            is_label, is_value = bool(label.match(x.strip())), bool(value.match(x.strip()))
+            if not is_label and not (is_value and (label_above or (kept and value.match(kept[-1].strip())))):
+                kept.append(x)
+            label_above = is_label
+        assert found == "\n".join(kept)
+
+
+def test_clean_is_all_passes_one_after_another(spark, sf):
+    """clean_full: each pass is held against SQL by itself; here whole documents go through them one by one."""
+    from archivelens.sources import fixtures
+
+    d = fixtures.md_documents(spark, sf).select("doc_id", "content")
+    whole = {r["doc_id"]: r["content"] for r in cleaner.clean(d).collect()}
+    for _, run in cleaner.passes():
+        d = spark.createDataFrame(d.select("doc_id", run(F.col("content")).alias("content")).toPandas())
+    assert {r["doc_id"]: r["content"] for r in d.collect()} == whole
+    useless = cleaner.without_headings([r"^#{1,6}\s+Key Figures"])
+    assert one(spark, "## Key Figures\nx\n##  key figures here\n## Other", useless) == "x\n## Other"
+
+
 def test_rules(spark):
     d = spark.createDataFrame([(0.6, 5, ["a"], True, "OAC__x.md", "p/OAC__x.md")], "corruption_score double, content_lines int, doc_types array<string>, has_tables boolean, filename string, filepath string")
     holds = lambda r: d.select(rules.rule(r).alias("h")).first()["h"]
@@ -265,3 +297,34 @@ def test_config():
     assert load("funders: {OAC: Arts}\nprocessing: {max_workers: 3}").processing.max_workers == 3
     with pytest.raises(ValueError, match="cascade"):
         load("converter: {type: cascade, cascade: [pandoc]}")
+
+
+def test_entities_and_headings_against_python(spark):
+    import random
+    import re
+
+    def decoded(t):
+        for pattern, base in ((r"&#x([0-9a-fA-F]+);", 16), (r"&#([0-9]+);", 10)):
+            t = re.sub(pattern, lambda m, base=base: chr(int(m[1], base)) if int(m[1], base) <= 0x10FFFF and not 0xD800 <= int(m[1], base) <= 0xDFFF else m[0], t)
+        return t
+
+    def calmed(t):
+        out = []
+        for x in t.split("\n"):
+            m = re.match(r"^(#{1,6})\s+(.+)$", x.strip())
+            if m:
+                letters, title = [c for c in m[2] if c.isalpha()], m[2]
+                if letters and sum(c.isupper() for c in letters) > 0.7 * len(letters):
+                    title = re.sub(r"\b(?:" + "|".join(cleaner.SMALL_WORDS) + r")\b", lambda w: w[0].lower(), title.title(), flags=re.IGNORECASE)
+                x = f"{m[1]} {title}"
+            out.append(x)
+        return "\n".join(out)
+
+    rng = random.Random(11)
+    bits = ["&", "&#", "&#65;", "&#x41;", "&#8211;", "&#xFEFF;", "&#128512;", "&#55296;", "&#99999999;", "&#123456789012;", "&#38;#65;", "x", ";", "&amp;"]
+    heads = ["# ", "## ", "THE ", "END OF ", "it's ", "DON'T ", "AN-OTHER ", "ÉTÉ ", "字ABC ", "a1B2 ", "\n", "### \t", "#", "UNDER_SCORE "]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 9))) for _ in range(300)]
+    lines = ["".join(rng.choice(heads) for _ in range(rng.randint(0, 9))) for _ in range(300)]
+    d = spark.createDataFrame(list(zip(range(300), texts, lines)), "i int, t string, h string")
+    for r, text, line in zip(d.select("i", cleaner.numeric_entities(F.col("t")).alias("t"), cleaner.capital_headings(F.col("h")).alias("h")).orderBy("i").collect(), texts, lines, strict=True):
+        assert r["t"] == decoded(text) and r["h"] == calmed(line)
