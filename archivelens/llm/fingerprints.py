@@ -16,6 +16,8 @@ follows stays there: hashing, summing and the comparison with the next document.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,33 +89,64 @@ def likeness(a: Column, b: Column, signs_a: Column, signs_b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), cosine)))
 
 
-def _range_of(key: Column, cuts: list[int]) -> Column:
-    """How many of ``cuts`` aren't above ``key``, by bisection."""
+def _place(text: Column) -> Column:
+    """The first six bytes of a text as a number, in the order of texts."""
+    return F.conv(F.rpad(F.hex(F.substring(text.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("bigint")
+
+
+def _range_of(key: Column, place: Column, cuts: list[tuple[int, int]]) -> Column:
+    """How many of ``cuts`` aren't above (``key``, ``place``), by bisection."""
     steps = max(1, len(cuts).bit_length())
-    held = F.lit(cuts + [(1 << 63) - 1] * ((1 << steps) - 1 - len(cuts)))
-    return F.aggregate(F.lit([1 << k for k in range(steps - 1, -1, -1)]), F.lit(0), lambda at, k: at + F.when(F.element_at(held, at + k) <= key, k).otherwise(0))
+    filled = cuts + [((1 << 63) - 1, (1 << 63) - 1)] * ((1 << steps) - 1 - len(cuts))
+    keys, places = F.lit([k for k, _ in filled]), F.lit([t for _, t in filled])
+
+    def step(at: Column, k: Column) -> Column:
+        own = F.element_at(keys, at + k)
+        return at + F.when((own < key) | ((own == key) & (F.element_at(places, at + k) <= place)), k).otherwise(0)
+
+    return F.aggregate(F.lit([1 << k for k in range(steps - 1, -1, -1)]), F.lit(0), step)
+
+
+def _cuts(docs: DataFrame, key: Column, place: Column, n: int) -> tuple[list[tuple[int, int]], bool]:
+    """Where about ``n`` even ranges begin: keys, and places within keys that fill several ranges (-1: from the key's first); and whether there are such keys."""
+    steps = [j / n for j in range(1, n)]
+    found = docs.select(key.alias("k")).agg(F.percentile_approx("k", steps or [0.5], max(10_000, 4 * n)).alias("cuts")).first()["cuts"]
+    seen = Counter(found or [])
+    hot = [k for k, m in seen.items() if m > 1]
+    cuts = {(k, -1) for k in seen}
+    if hot:
+        # a key that is several quantiles is cut by the places of its texts; there are fewer such keys than ranges
+        own = docs.select(key.alias("k"), place.alias("t")).filter(F.col("k").isin(hot))
+        for r in own.groupBy("k").agg(F.percentile_approx("t", steps, max(10_000, 4 * n)).alias("ts")).collect():
+            many = seen[r["k"]]
+            cuts |= {(r["k"], r["ts"][j * len(r["ts"]) // many]) for j in range(1, many)}
+    return sorted(cuts), bool(hot)
 
 
 def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """Rows part, rn, ghost, doc_id, text and next_text, the text of the next document by ascending doc_id (after the last: the first).
 
-    Ranges of doc_id are bounded by approximate quantiles.  The documents that begin a range are
-    also sent, as ghosts, to the range before, whose last document needs them.  Null ids come first;
-    rows of one id are in order of their texts; null texts are empty.  One document is its own next.
+    Ranges of doc_id are bounded by approximate quantiles, and ranges within one id that has very many rows by
+    those of its texts' first bytes.  The documents that begin a range are also sent, as ghosts, to the range
+    before, whose last document needs them.  Null ids come first; rows of one id are in order of their texts; null
+    texts are empty.  One document is its own next.
     """
     spark = docs.sparkSession
     n = min(MOST_RANGES, ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    key = F.coalesce(docs["doc_id"].cast("bigint"), F.lit(_FIRST))
-    steps = [k / n for k in range(1, n)]
-    found = docs.select(key.alias("k")).agg(F.min("k").alias("low"), F.percentile_approx("k", steps or [0.5], max(10_000, 4 * n)).alias("cuts")).first()
-    low = found["low"] if found["low"] is not None else 0
-    cuts = sorted({c for c in found["cuts"] or [] if c > low})
-    part = _range_of(F.col("k"), cuts)
-    rows = docs.select(key.alias("k"), "doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("part", part)
+    key, held = F.coalesce(docs["doc_id"].cast("bigint"), F.lit(_FIRST)), F.coalesce(docs["text"], F.lit(""))
+    cuts, hot = _cuts(docs, key, _place(held), n)
+    t = _place(held) if hot else F.lit(0)  # texts needn't be read for ranges of ids alone
+    keyed = docs.select(key.alias("k"), t.alias("t"))
+    part = _range_of(F.col("k"), F.col("t"), cuts)
+    # the cuts are approximate, so what each range begins with is looked up: one row for each range
+    firsts = {r["part"]: r["first"] for r in keyed.groupBy(part.alias("part")).agg(F.min(F.struct("k", "t")).alias("first")).collect()}
+    full = sorted(firsts)
+    before = dict(zip(full, full[-1:] + full[:-1]))
+    of = lambda values: F.element_at(F.lit([int(values(p)) if p in firsts else 0 for p in range(len(cuts) + 1)]), F.col("part") + 1)
+    rows = docs.select(key.alias("k"), "doc_id", held.alias("text"), t.alias("t")).withColumn("part", part)
     place = lambda p, ghost: F.struct(p.alias("part"), F.lit(ghost).alias("ghost"))
-    begins = F.element_at(F.lit([low, *cuts]), F.col("part") + 1) == F.col("k")
-    before = F.when(F.col("part") > 0, F.col("part") - 1).otherwise(F.lit(len(cuts)))
-    places = F.when(begins, F.array(place(F.col("part"), False), place(before, True))).otherwise(F.array(place(F.col("part"), False)))
+    begins = (of(lambda p: firsts[p]["k"]) == F.col("k")) & (of(lambda p: firsts[p]["t"]) == F.col("t"))
+    places = F.when(begins, F.array(place(F.col("part"), False), place(of(lambda p: before[p]).cast("int"), True))).otherwise(F.array(place(F.col("part"), False)))
     rows = rows.select("k", "doc_id", "text", F.explode(places).alias("at")).select("k", "doc_id", "text", "at.part", "at.ghost")
     order = Window.partitionBy("part").orderBy("ghost", "k", "text")
     return rows.select("part", "ghost", "doc_id", "text", F.row_number().over(order).alias("rn"), F.lead("text").over(order).alias("next_text"))
@@ -129,8 +162,8 @@ def edited(text: Column, next_text: Column) -> Column:
 def fingerprints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """One row for each document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    A null text is empty, and an empty text's fingerprint is all zeros; repeated rows give repeated
-    rows; other columns of ``docs`` are ignored; an empty table gives an empty result.
+    A null text is empty, and an empty text's fingerprint is all zeros; whole texts of any length count; repeated
+    rows give repeated rows; other columns of ``docs`` are ignored; an empty table gives an empty result.
     """
     rows = with_next(docs, ranges)
     changed = rows.withColumn("edited", F.coalesce(edited(F.col("text"), F.col("next_text")), F.lit("")))

@@ -97,6 +97,20 @@ def test_fingerprints_of_odd_rows(odd, none, spark):
     assert fingerprints.fingerprints(odd.limit(1)).first()["near_next"] == 1.0
 
 
+@pytest.mark.parametrize("ranges", [1, 2, 7, 40])
+def test_next_texts_where_one_id_has_most_rows(spark, ranges):
+    rng = random.Random(ranges)
+    rows = [(None if rng.random() < 0.4 else (1 << 62) + rng.randint(0, 3) if rng.random() < 0.1 else 5 if rng.random() < 0.6 else rng.randint(-9, 30), rng.choice(["", None, "a", "é", "é", "字 x"]) if rng.random() < 0.2 else "".join(rng.choices("abcxyz ", k=rng.randint(1, 12)))) for _ in range(400)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = fingerprints.with_next(d, ranges)
+    texts = sorted([(-(1 << 63) if i is None else i, t or "", i) for i, t in rows], key=lambda x: (x[0], x[1].encode()))
+    want = Counter((i, t, after) for (_, t, i), (_, after, _) in zip(texts, texts[1:] + texts[:1], strict=True))
+    whole = found.filter("not ghost").collect()
+    assert Counter((r["doc_id"], r["text"], r["next_text"]) for r in whole) == want
+    sizes = Counter(r["part"] for r in whole)
+    assert ranges < 7 or max(sizes.values()) < 400 / ranges * 4
+
+
 # 3 ------------------------------------------------------------------------------------------------------------------
 
 
