@@ -137,14 +137,18 @@ def parsed(files: DataFrame) -> DataFrame:
 def _name_links(files: DataFrame, least: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Files with their words, links between different sets of words (k, k2, ta, tb, name_similarity), and the sets."""
     named = files.select("filename", name_tokens(stem(F.col("filename"))).alias("tokens")).filter(F.size("tokens") > 0)
-    sets = checkpointed(named.groupBy(F.array_sort("tokens").alias("tokens")).agg(F.min("filename").alias("k")))
-    seen = sets.select("k", F.explode("tokens").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
-    ranked = sets.select("k", F.explode("tokens").alias("t")).join(seen, "t").groupBy("k").agg(F.array_sort(F.collect_list(F.struct("n", "t"))).alias("r"))
-    size = F.size("r")
-    prefix = ranked.select("k", F.explode(F.slice("r", 1, size - F.ceil(size * least).cast("int") + 1)).alias("r")).select("k", F.col("r.t").alias("t"))
-    met = prefix.join(prefix.withColumnRenamed("k", "k2"), "t").filter("k < k2").select("k", "k2").distinct()
-    left, right = sets.select("k", F.col("tokens").alias("ta")), sets.select(F.col("k").alias("k2"), F.col("tokens").alias("tb"))
-    alike = met.join(left, "k").join(right, "k2").withColumn("name_similarity", S.jaccard(F.col("ta"), F.col("tb"))).filter(F.col("name_similarity") >= least)
+    sets = checkpointed(named.groupBy(F.array_sort("tokens").alias("tokens")).agg(F.min("filename").alias("k")).withColumns({"n": F.size("tokens"), "g": F.monotonically_increasing_id()}))
+    rows = sets.select("g", "n", F.explode("tokens").alias("t"))
+    seen = rows.groupBy("t").agg(F.count("*").alias("df"))
+    ranked = rows.join(seen, "t").groupBy("g", "n").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("r"))
+    prefix = ranked.select("g", "n", F.explode(F.slice("r", 1, F.col("n") - F.ceil(F.col("n") * least).cast("int") + 1)).alias("r")).select("g", "n", F.col("r.t").alias("t"))
+    # numbers meet, and only their sizes; words are fetched for those that may be alike
+    other = prefix.select(F.col("g").alias("g2"), F.col("n").alias("n2"), "t")
+    met = prefix.join(other, "t").filter((F.col("g") < F.col("g2")) & (F.least("n", "n2") >= least * F.greatest("n", "n2"))).select("g", "g2").distinct()
+    left, right = sets.select("g", F.col("k").alias("x"), F.col("tokens").alias("tx")), sets.select(F.col("g").alias("g2"), F.col("k").alias("y"), F.col("tokens").alias("ty"))
+    both = met.join(left, "g").join(right, "g2").withColumn("name_similarity", S.jaccard(F.col("tx"), F.col("ty"))).filter(F.col("name_similarity") >= least)
+    first = F.col("x") < F.col("y")
+    alike = both.select(F.least("x", "y").alias("k"), F.greatest("x", "y").alias("k2"), F.when(first, F.col("tx")).otherwise(F.col("ty")).alias("ta"), F.when(first, F.col("ty")).otherwise(F.col("tx")).alias("tb"), "name_similarity")
     return named, alike, sets
 
 
