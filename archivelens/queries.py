@@ -776,7 +776,7 @@ UNION ALL SELECT filename, 'Unrecognized type "' || kind || '"' FROM md WHERE ki
 SELECT 'dir: raw' AS check, 'ok' AS status, 'raw exists (' || a || ' files)' AS message FROM n UNION ALL SELECT 'dir: markdown', 'ok', 'markdown exists (' || b || ' files)' FROM n UNION ALL SELECT 'dir: clean', 'ok', 'clean exists (' || b || ' files)' FROM n
 UNION ALL SELECT 'dir: rewritten', 'ok', 'rewritten exists (0 files)' UNION ALL SELECT 'dir: published', 'warn', 'published does not exist'
 UNION ALL SELECT 'pipeline', 'ok', 'markdown ' || b || ' files (of ' || a || ' in raw)' FROM n UNION ALL SELECT 'pipeline', 'warn', 'clean has ' || b || ' files but rewritten is empty' FROM n"""
-    template = F.lit("Dear {funder}, your {kind} of {year} {braces} {nobody} {")
+    template = "Dear {funder}, your {kind} of {year} {braces} {nobody} {"
     filled = "'Dear ' || funder_code || ', your ' || kind || ' of ' || year_code || ' {year} {nobody} {'"
     results = lambda d: d.select("filename", F.when(F.col("doc_id") % 9 == 0, "failed").otherwise("ok").alias("status"), F.when(F.col("doc_id") % 9 == 0, F.concat(F.lit("error "), F.col("kind"))).alias("error"))
     seconds = "n_chars::DOUBLE / 7.0 - 10.0"
@@ -803,7 +803,7 @@ SELECT doc_id, round(sum(ln(1 + (docs - df + 0.5)::DOUBLE / (df + 0.5)::DOUBLE)
         "stage_states": (_md(states), state_sql),
         "state_summary": (_md(lambda d: reports.by_status(states(d))), "SELECT unnest(['ok', 'warn', 'error', 'info']) AS status, unnest([5, 2, 0, 0])::BIGINT AS checks"),
         "ingest_warnings": (_md(lambda d: ingest_warnings(new(d), FUNDERS, kinds)), warned),
-        "template_fill": (_md(lambda d: d.select("doc_id", MD.filled(template, {"funder": F.col("funder_code"), "kind": F.col("kind"), "year": F.col("year_code"), "braces": F.lit("{year}")}).alias("text")).withColumn("left", F.array_join(MD.unfilled(F.col("text")), ","))), Q.md_cte(f"SELECT doc_id, {filled} AS text, 'nobody,year' AS \"left\" FROM md")),
+        "template_fill": (_md(lambda d: d.select("doc_id", MD.filled(F.lit(template), {"funder": F.col("funder_code"), "kind": F.col("kind"), "year": F.col("year_code"), "braces": F.lit("{year}")}).alias("text")).withColumn("left", F.array_join(MD.unfilled(F.col("text")), ","))), Q.md_cte(f"SELECT doc_id, {filled} AS text, 'nobody,year' AS \"left\" FROM md")),
         "abbreviations": (_md(lambda d: d.select("doc_id", MD.abbreviation(F.translate("kind", "_", " ")).alias("short"))), Q.md_cte("SELECT doc_id, CASE WHEN contains(kind, '_') THEN upper(left(kind, 1) || left(string_split(kind, '_')[2], 1)) ELSE upper(left(kind, 3)) END AS short FROM md")),
         "human_times": (lambda spark, sf_dir: fx.table(spark, sf_dir, "documents").select("doc_id", MD.human_time(F.greatest(F.lit(0.0), F.col("n_chars") / 7.0 - 10.0)).alias("time")), f"SELECT doc_id, {timed} AS time FROM (SELECT doc_id, greatest(0.0::DOUBLE, {seconds}) AS s FROM documents)"),
         "markdown_blocks": (_md(lambda d: d.select("doc_id", F.explode(MD.blocks(F.col("content"))).alias("b")).groupBy("doc_id", "b.kind").agg(F.count("*").alias("blocks"))), None),
