@@ -167,7 +167,8 @@ def identify(docs: DataFrame) -> DataFrame:
 
     Learns from the texts and languages of documents that aren't held out; predictions see the text
     alone.  Ties go to the language that sorts first.  A null text, or one without a letter, is
-    ``und``, as is every text if no document is labelled.  Other columns of ``docs`` are ignored.
+    ``und``, as is every text if no document is labelled.  Whole texts of any length count; repeated rows give
+    repeated rows; other columns of ``docs`` are ignored; an empty table gives an empty result.
     """
     model = fit(docs.filter(~held_out(docs["doc_id"])))
     found = docs.select("doc_id", held_out(docs["doc_id"]).alias("held_out"), predict(docs["text"], model).alias("p"))
@@ -175,7 +176,11 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def language_filter(docs: DataFrame) -> DataFrame:
-    """The documents whose language isn't rejected, with their columns."""
+    """The documents whose language isn't rejected, with their columns, whatever their names.
+
+    Null, empty and letterless texts go, as does every text if no document is labelled; whole texts of any length
+    count; repeated rows share their fate and stay as often as they are; an empty table gives an empty result.
+    """
     model = fit(docs.filter(~held_out(docs["doc_id"])))
     name = free_name(docs)
     return docs.withColumn(name, predict(docs["text"], model)).filter(~F.col(name)["rejected"]).select(*(docs[f"`{c}`"] for c in docs.columns))

@@ -316,7 +316,8 @@ def classes(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The document of the least doc_id of each class, with its columns; null texts all stay.
 
-    Of rows that repeat a document, one stays.
+    Of rows that repeat a document, one stays.  Whole texts of any length are compared; columns may have any names; an
+    empty table gives an empty result.
     """
     rows, by = near_duplicates(docs)
     key = free_name(docs)

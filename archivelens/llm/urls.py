@@ -23,12 +23,18 @@ def host(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, _HOST, 1), F.lit("")))
 
 
-def patterns_of(url: Column) -> Column:
-    """All patterns that cover a URL: its host, each parent domain, and its host with each start of the path, segment by segment."""
+def patterns_of(url: Column, deepest: int | None = None) -> Column:
+    """All patterns that cover a URL: its host, each parent domain, and its host with each start of the path, segment by segment.
+
+    ``deepest``: the most parts, of hosts and paths, that any listed pattern has; longer ones can't be listed and aren't made, so a
+    very long URL has no more patterns than a list can use.
+    """
     h = host(url)
     labels = F.split(h, r"\.")
-    domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    least = F.lit(1) if deepest is None else F.greatest(F.lit(1), F.size(labels) - deepest + 1)
+    domains = F.transform(F.sequence(least, F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     segments = F.filter(F.split(F.coalesce(F.regexp_extract(url, _PATH, 1), F.lit("")), "/"), lambda s: s != "")
+    segments = segments if deepest is None else F.slice(segments, 1, deepest)
     paths = F.transform(segments, lambda s, i: F.concat(h, F.lit("/"), F.array_join(F.slice(segments, 1, i + 1), "/")))
     return F.when(h == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(domains, paths)))
 
@@ -51,11 +57,13 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     As-of join: equal patterns, and an interval that holds the fetch date (its first day, not its
     last).  Each pattern has one such interval at most for each category, so nothing multiplies.  Of
     equally long patterns the first category by name counts.  Captures without a URL, a host or a date match
-    nothing; captures of one id are one capture for each different URL and date.
+    nothing, nor do very long URLs beyond what the list's patterns reach; captures of one id are one capture for
+    each different URL and date; other columns are ignored, whatever their names; an empty list blocks nothing.
     """
     listed = intervals(entries)
-    keyed = captures.select("capture_id", "url", "fetched_on", F.explode(F.concat(F.array(F.lit(None).cast("string")), F.coalesce(patterns_of(F.col("url")), F.array().cast("array<string>")))).alias("key"))
-    if listed.count() <= MOST_BROADCAST:
+    size = listed.agg(F.count("*").alias("n"), F.max(F.greatest(F.size(F.split("pattern", "/")), F.size(F.split("pattern", r"\.")))).alias("deepest")).first()
+    keyed = captures.select("capture_id", "url", "fetched_on", F.explode(F.concat(F.array(F.lit(None).cast("string")), F.coalesce(patterns_of(F.col("url"), size["deepest"] or 1), F.array().cast("array<string>")))).alias("key"))
+    if size["n"] <= MOST_BROADCAST:
         matched = keyed.join(F.broadcast(listed), _active(keyed, listed), "left")
     else:
         salted = keyed.withColumn("salt", F.pmod(F.xxhash64("capture_id"), F.lit(SALTS)).cast("int"))

@@ -424,6 +424,9 @@ def test_temporal_lists(spark, monkeypatch):
         monkeypatch.setattr(urls, "MOST_BROADCAST", limit)
         found = urls.judge(captures, entries).collect()
         assert {r["capture_id"] for r in found if r["blocked"]} == {2, 4, 5} and len(found) == 10
+    # names that the operator uses itself, and a very long URL
+    more = captures.selectExpr("*", "1 as key", "2 as pattern", "3 as salt", "4 as n", "5 as best").union(spark.createDataFrame([(11, "http://a.bad.org/" + "x/" * 20_000, 1), (12, "http://ok.net/x/" + "y/" * 20_000, 1)], "capture_id bigint, url string, o int").selectExpr("capture_id", "url", "date'2024-06-01'", "o", "o", "o", "o", "o"))
+    assert {r["capture_id"] for r in urls.judge(more, entries.selectExpr("*", "1 as key", "2 as url")).filter("blocked").collect()} == {2, 4, 5, 11, 12}
     assert urls.judge(captures.limit(0), entries).count() == 0 and urls.judge(captures, entries.limit(0)).filter("blocked").count() == 0
 
 
