@@ -304,8 +304,11 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     grouped = nodes.join(comp, nodes["n"] == comp["node"], "left").select(nodes["node"], nodes["first"], F.coalesce("comp", "n").alias("comp"))
     least = grouped.groupBy("comp").agg(F.min("first").alias("class_id"))
     classes = keep(grouped.join(least, "comp").select(F.col("node").alias("c_node"), "first", "class_id"), "classes")
-    rows = signed.join(classes.select("c_node", "class_id"), F.col("node") == F.col("c_node"), "left")
-    return rows.select("doc_id", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id")), classes
+    # a third of all rows may be copies of one text
+    own = signed.select("doc_id", "node").filter("node is not null")
+    rows = spread_join(own, classes.select("c_node", "class_id"), "node", hot_keys(own, "node"), "c_node").select("doc_id", "node", "class_id")
+    alone = signed.select("doc_id", "node").filter("node is null").withColumn("class_id", F.col("doc_id"))
+    return rows.union(alone), classes
 
 
 def classes(docs: DataFrame) -> DataFrame:
