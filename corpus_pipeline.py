@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame.  All but the last return the columns of
 ``documents``, with the documents that stay; the last returns the pieces of the packed sequences.
+
+Odd input: null and empty texts go at the first stage; a null id or source is a value like any other (of sources,
+the last); ties are settled by doc_id; of repeated rows one stays behind near-dedup, and mixing may repeat documents;
+whole texts of any length are read; extra columns stay up to packing, whatever their names; an empty table gives no piece.
 """
 
 from __future__ import annotations
