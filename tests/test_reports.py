@@ -323,7 +323,7 @@ def test_ingest(spark):
     assert got == [("a", "Unrecognized funder"), ("a", "Unrecognized type"), ("c", "Unrecognized funder")]
 
 
-@pytest.mark.parametrize("name", ["audit_dead_links", "audit_weak_sections"])
+@pytest.mark.parametrize("name", ["audit_dead_links", "audit_weak_sections", "audit_rollup"])
 def test_articles_of_one_name(name, spark, tmp_path):
     """audit_dead_links, audit_weak_sections, audit_rollup: ids 410,000 apart have one article name, as at 1 GB."""
     import duckdb
