@@ -177,6 +177,28 @@ def test_name_links_say_all_pairs(spark):
     assert said == pairs and len(pairs) > 300
 
 
+def test_name_classes_against_all_pairs(spark):
+    """name_jaccard_pairs: classes and numbers of links without a list of pairs; equal sets, names without words, sets with too many subsets."""
+    import random
+
+    rng = random.Random(6)
+    words = [f"word{i}" for i in range(60)]
+    names = [f"{'_'.join(rng.sample(words, rng.randint(1, 7)))}__{i}.md" for i in range(150)] + [f"{'_'.join(rng.sample(words[:20], rng.randint(9, 15)))}__{i}.md" for i in range(12)]
+    names += ["a_b.md", "c.md", "word1_word2__200.md", "word2_word1__201.md"]
+    found = {r["filename"]: r for r in canonical.name_classes(spark.createDataFrame([(n,) for n in names], "filename string")).collect()}
+    sets = {n: frozenset(t for t in n[:-3].split("_") if len(t) > 2) for n in names}
+    alike = {n: [m for m in names if sets[n] and len(sets[n] & sets[m]) / len(sets[n] | sets[m]) >= 0.25] for n in names}
+    assert len(found) == len(names)
+    for n in names:
+        seen, todo = {n}, [n]
+        while todo:
+            more = set(alike[todo.pop()]) - seen
+            seen |= more
+            todo += more
+        assert (found[n]["first"], found[n]["cluster"], found[n]["links"]) == (min([m for m in names if sets[n] and sets[m] == sets[n]] or [n]), min(seen), max(0, len(alike[n]) - 1)), n
+    assert len({r["cluster"] for r in found.values()}) > 3
+
+
 def test_rewriting_keeps_whole_documents(spark):
     from archivelens.plans.pipeline import Pipeline
 
