@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quality import free_name
-from .storage import keep
+from .storage import keep, tidy
 
 #: At least so many bins of ranks, and as many as keep bins at about DOCS_PER_BIN documents.
 BINS, DOCS_PER_BIN = 4096, 50_000
@@ -147,9 +147,9 @@ def _pass(rows: DataFrame, by: DataFrame, k: int, small: bool) -> DataFrame:
     left = _joined(rows, by, F.col("source"), small).filter(~_taken(k) & (F.col("size") <= goal if k else F.lit(True)))
     sums = left.groupBy("m_source", "bin", goal.alias("goal")).agg(F.sum("size").alias("s"))
     run = sums.withColumn("run", F.sum("s").over(Window.partitionBy("m_source").orderBy("bin")))
-    ended = run.filter((F.col("run") > F.col("goal")) & (F.col("run") - F.col("s") <= F.col("goal"))).select(F.col("m_source").alias("e_source"), F.col("bin").alias("end"), (F.col("run") - F.col("s")).alias("had"))
-    total = sums.groupBy(F.col("m_source").alias("t_source")).agg(F.sum("s").alias("total"))
-    ends = keep(by.join(ended, by["m_source"].eqNullSafe(ended["e_source"]), "left").drop("e_source").join(total, by["m_source"].eqNullSafe(total["t_source"]), "left").drop("t_source"), "ends")
+    ended = F.when((F.col("run") > F.col("goal")) & (F.col("run") - F.col("s") <= F.col("goal")), F.struct(F.col("bin").alias("end"), (F.col("run") - F.col("s")).alias("had")))
+    per = run.groupBy(F.col("m_source").alias("e_source")).agg(F.max(ended).alias("e"), F.sum("s").alias("total"))
+    ends = keep(by.join(per, by["m_source"].eqNullSafe(per["e_source"]), "left").select(*by.columns, "e.end", "e.had", "total"), "ends")
     inside = _joined(rows, ends, F.col("source"), small).filter(~_taken(k) & (F.col("bin") == F.col("end")) & (F.col("size") <= goal if k else F.lit(True)))
     ranks = inside.groupBy("m_source", "had", goal.alias("goal"), "rank").agg(F.sum("size").alias("own"))
     ranks = ranks.withColumn("run", F.col("had") + F.sum("own").over(Window.partitionBy("m_source").orderBy("rank")))
@@ -175,6 +175,7 @@ def plan(sizes: DataFrame, seed: str) -> tuple[DataFrame, bool, int]:
     rows = keep(rows, "ranks")
     for k in range(PASSES):
         by = _pass(rows, by, k, small)
+        tidy(sizes.sparkSession)
     return by, small, bins
 
 

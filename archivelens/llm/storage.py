@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -55,6 +56,12 @@ def discard(kept: DataFrame) -> None:
         _delete(spark, path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Collect what finished jobs left in the driver: plans, broadcast tables and generated classes stay until the JVM does, and it then returns memory."""
+    gc.collect()  # Python's handles keep plans alive
+    spark._jvm.System.gc()
+
+
 def release(spark: SparkSession) -> None:
     """Delete every table that this application has kept."""
     _delete(spark, f"{shared_dir(spark)}/archivelens-{spark.sparkContext.applicationId}")

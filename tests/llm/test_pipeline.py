@@ -40,3 +40,12 @@ def test_odd_rows_go_through(odd, none, spark, sf):
     for docs in (odd, none):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, docs, sf).count()
+
+
+def test_stages_free_the_driver(spark, sf, monkeypatch):
+    """pipeline: plans and generated classes of one stage, or of one pass of mixing, don't stay in the driver with the next."""
+    freed = []
+    for module in (corpus_pipeline, mixing):
+        monkeypatch.setattr(module, "tidy", lambda s, m=module: freed.append(m.__name__))
+    corpus_pipeline.run(spark, sf)
+    assert freed.count("corpus_pipeline") == len(corpus_pipeline.STAGES) and freed.count(mixing.__name__) == mixing.PASSES
