@@ -300,6 +300,20 @@ def test_near_articles_and_collisions_against_all_pairs(spark, sf):
     assert list(roll) == audit.CHECKS and roll["near_duplicates"] == len(found) and roll["name_collisions"] == len(names)
 
 
+def test_near_candidates_have_lengths_for_the_ratio(spark):
+    """audit_near_duplicates, audit_rollup_all: pairs whose lengths rule the ratio out end where words are counted, before texts are fetched."""
+    words = [f"word{k}" for k in range(20)]
+    rows = [("a", " ".join(words)), ("b", " ".join(words) + " xy" * 14), ("c", " ".join(words) + " xy" * 30)]
+    d = spark.createDataFrame(rows, "article string, body string")
+    pairs = {tuple(sorted(r)) for r in audit.near_candidates(d).collect()}
+    limit = audit.CONFIG["near_duplicate"]
+    kept = {tuple(sorted(r)) for r in audit.near_candidates(d, length=limit / (2 - limit) - 1e-9).collect()}
+    n = {x: len(t) for x, t in rows}
+    assert len(pairs) == 3 and kept == {(x, y) for x, y in pairs if 2 * min(n[x], n[y]) / (n[x] + n[y]) >= limit} and len(kept) == 2
+    plan = audit.near_duplicates(d)
+    assert {(r["a"], r["b"]) for r in plan.collect()} <= kept
+
+
 def test_fixes_against_lines(spark):
     """audit_fix: weak sections go, link noise is escaped."""
     text = "# T\n\n## Key Figures\nNo data.\n\n## Body\nA [abc.def token here.\n"
