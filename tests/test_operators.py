@@ -253,6 +253,39 @@ def test_subsequences_bound_the_ratio():
         assert subsequence_ratio(a, b) >= block_ratio(a, b) - 1e-12
 
 
+def test_blocks_of_texts_lose_no_ratio():
+    import random
+
+    import pyarrow as pa
+
+    from archivelens.functions import blocks
+    from archivelens.functions.similarity import block_ratio
+
+    rng = random.Random(3)
+    words = "many people came along the narrow river road before winter and carried their heavy baskets toward market".split()
+    for more in ("", "".join(chr(0x4E00 + i) for i in range(1500))):  # few letters, and more than fit one number
+        rows = []
+        for k in range(60):
+            if k % 3 == 0:
+                t = " ".join(rng.choice(words) for _ in range(rng.randint(5, 60))) + more[:9]
+            else:
+                t = "".join(rng.choice("abc é") if rng.random() < 0.1 * (k % 3) else c for c in rng.choice(rows)[1])
+                t = t[len(t) // 2 :] + t[: len(t) // 2] if k % 7 == 0 else t
+            name = "_".join(rng.sample(["aaa", "bbb", "ccc", "ddd", "eee", "fff"], 3)) + f"_{k:03d}"
+            rows.append((name, t, sorted(name.split("_")), k % 2))
+        rows += [("aaa_bbb_x", more, ["aaa", "bbb"], 0)] if more else []
+        found = []
+        for i, j in ((0, 0), (0, 1), (1, 1)):
+            part = pa.table(dict(zip(("filename", "t", "s", "block"), map(list, zip(*(r for r in rows if r[3] in (i, j)), strict=True)), strict=True)))
+            got = blocks.may_match(0.7, 0.25)((pa.scalar(i), pa.scalar(j)), part)
+            found += zip(got["a"].to_pylist(), got["b"].to_pylist(), strict=True)
+        rows.sort()
+        alike = [(x, y) for n, x in enumerate(rows) for y in rows[n + 1 :] if len({*x[2]} & {*y[2]}) / len({*x[2]} | {*y[2]}) >= 0.25]
+        true = {(x[0], y[0]) for x, y in alike if block_ratio(x[1], y[1]) >= 0.7}
+        assert true and true <= set(found) <= {(x[0], y[0]) for x, y in alike}
+        assert len(found) == len(set(found)) <= 2 * len(true) < len(alike) / 5  # most pairs are ruled out
+
+
 def test_ratio_is_the_standard_one():
     import random
 
