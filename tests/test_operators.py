@@ -253,7 +253,7 @@ def test_subsequences_bound_the_ratio():
         assert subsequence_ratio(a, b) >= block_ratio(a, b) - 1e-12
 
 
-def test_blocks_of_texts_lose_no_ratio():
+def test_blocks_of_texts_lose_no_ratio(monkeypatch):
     import random
 
     import pyarrow as pa
@@ -261,6 +261,7 @@ def test_blocks_of_texts_lose_no_ratio():
     from archivelens.functions import blocks
     from archivelens.functions.similarity import block_ratio
 
+    monkeypatch.setattr(blocks, "ROWS", 13)
     rng = random.Random(3)
     words = "many people came along the narrow river road before winter and carried their heavy baskets toward market".split()
     for more in ("", "".join(chr(0x4E00 + i) for i in range(1500))):  # few letters, and more than fit one number
