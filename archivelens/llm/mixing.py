@@ -205,7 +205,10 @@ def mixed_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
     by, small, bins = plan(keep(docs.select("doc_id", "source", n_words(docs["text"]).alias("size")), "sizes"), seed)
     own = free_name(docs)
     packed = docs.select(F.struct(*(docs[f"`{c}`"] for c in names)).alias(own), docs["source"].alias("source"), docs["doc_id"].alias("doc_id"), n_words(docs["text"]).alias("size"))
-    rows = _copied(packed, by, small, bins, seed).filter("copies > 0").select(own, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    rows = _copied(packed, by, small, bins, seed)
+    # a filter of copies would be moved below the columns that it is made of, each then written out at every use
+    some = F.when(F.col("copies") > 0, F.sequence(F.lit(1), F.col("copies").cast("int")))
+    rows = rows.select(own, F.explode_outer(some).alias("copy")).filter("copy is not null")
     return rows.select(*(F.col(own)[c].alias(c) for c in names))
 
 

@@ -37,9 +37,11 @@ def keep(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back, which cuts its lineage.
 
     Later jobs read the table instead of repeating the work, also after executors were lost.
+    What writing it left in the driver is freed, so that garbage of one query doesn't make the heap grow under the next.
     """
     path = scratch(df.sparkSession, name)
     df.write.option("compression", compression).parquet(path)
+    tidy(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

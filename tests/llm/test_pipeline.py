@@ -1,7 +1,7 @@
 """The five stages, each against what its operator says of the same input."""
 
 import corpus_pipeline
-from archivelens.llm import language, mixing, neardup, quality
+from archivelens.llm import language, mixing, neardup, quality, storage
 
 from .test_operators import brute_classes
 
@@ -49,3 +49,16 @@ def test_stages_free_the_driver(spark, sf, monkeypatch):
         monkeypatch.setattr(module, "tidy", lambda s, m=module: freed.append(m.__name__))
     corpus_pipeline.run(spark, sf)
     assert freed.count("corpus_pipeline") == len(corpus_pipeline.STAGES) and freed.count(mixing.__name__) == mixing.PASSES
+
+
+def test_plans_of_mixing_stay_small(spark, sf):
+    """pipeline: ranks aren't written out again at every use, which made code that didn't compile and a gigabyte of garbage in the driver."""
+    plan = mixing.mixed_documents(spark.read.parquet(f"{sf}/documents.parquet"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") <= 2
+
+
+def test_kept_tables_free_the_driver(spark, monkeypatch):
+    """pipeline: what a query left in the driver goes before the next, also within a stage."""
+    freed = []
+    monkeypatch.setattr(storage, "tidy", freed.append)
+    assert storage.keep(spark.range(3), "three").count() == 3 and freed == [spark]
