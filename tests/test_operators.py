@@ -384,3 +384,31 @@ def test_entities_and_headings_against_python(spark):
     d = spark.createDataFrame(list(zip(range(300), texts, lines)), "i int, t string, h string")
     for r, text, line in zip(d.select("i", cleaner.numeric_entities(F.col("t")).alias("t"), cleaner.capital_headings(F.col("h")).alias("h")).orderBy("i").collect(), texts, lines, strict=True):
         assert r["t"] == decoded(text) and r["h"] == calmed(line)
+
+
+def test_ratio_from_ends_early_and_is_exact():
+    """archive_pipeline: texts that can't have the ratio need no further blocks; the others get the standard one."""
+    import random
+
+    from archivelens.functions.similarity import block_ratio
+
+    rng = random.Random(7)
+    alphabets = ["ab cdé字", "".join(chr(0x4E00 + i) for i in range(90))]
+    for k in range(120):
+        a, b = ("".join(rng.choice(alphabets[k % 2]) for _ in range(rng.randint(0, 90))) for _ in range(2))
+        b = a[: len(a) // 2] + b if k % 3 == 0 else b
+        true = SequenceMatcher(None, a, b, autojunk=False).ratio()
+        assert block_ratio(a, b) == true
+        for least in (0.3, 0.45, 0.7, true):
+            assert block_ratio(a, b, least) == (true if true >= least else None)
+
+
+def test_blocks_are_enough_for_the_cores(spark, monkeypatch):
+    """archive_pipeline: some thousand texts make several tasks, and no pair is lost between blocks."""
+    assert [canonical.block_count(n) for n in (1, 250, 251, 2000, 5000, 16_001)] == [1, 1, 2, 8, 8, 9]
+    text = "the quick brown fox jumps over the lazy dog and runs away through the long green field to the river "
+    files = spark.createDataFrame([(f"OAC__2024_Plan__report_{i:03d}.md", text + str(i)) for i in range(12)], "filename string, content string")
+    pairs = lambda: sorted((r["a"], r["b"]) for r in canonical.duplicate_pairs(files).collect())
+    whole = pairs()
+    monkeypatch.setattr(canonical, "LEAST_BLOCK", 3)
+    assert len(whole) == 66 and pairs() == whole
