@@ -405,7 +405,7 @@ def test_ratio_from_ends_early_and_is_exact():
 
 def test_blocks_are_enough_for_the_cores(spark, monkeypatch):
     """archive_pipeline: some thousand texts make several tasks, and no pair is lost between blocks."""
-    assert [canonical.block_count(n) for n in (1, 250, 251, 2000, 5000, 16_001)] == [1, 1, 2, 8, 8, 9]
+    assert [canonical.block_count(n, n) for n in (1, 250, 251, 2000, 5000, 16_001)] == [1, 1, 2, 8, 8, 9] and canonical.block_count(3000, 25_000) == 2
     text = "the quick brown fox jumps over the lazy dog and runs away through the long green field to the river "
     files = spark.createDataFrame([(f"OAC__2024_Plan__report_{i:03d}.md", text + str(i)) for i in range(12)], "filename string, content string")
     pairs = lambda: sorted((r["a"], r["b"]) for r in canonical.duplicate_pairs(files).collect())
