@@ -412,3 +412,13 @@ def test_blocks_are_enough_for_the_cores(spark, monkeypatch):
     whole = pairs()
     monkeypatch.setattr(canonical, "LEAST_BLOCK", 3)
     assert len(whole) == 66 and pairs() == whole
+
+
+@pytest.mark.parametrize("text", ["ab", "aaaaaaaa", "abababab abab"])
+def test_blocks_of_few_letters(spark, text):
+    """archive_pipeline, dup_content_ratio: a block of texts with fewer different letters than are counted singly."""
+    files = spark.createDataFrame([(f"OAC__2024_Plan__report_{k}.md", text + "b" * k) for k in range(3)], "filename string, content string")
+    found = {(r["a"], r["b"]): r["similarity"] for r in canonical.duplicate_pairs(files, least=0.5).collect()}
+    texts = {r["filename"]: r["t"] for r in files.select("filename", canonical.comparable(F.col("content")).alias("t")).collect()}
+    want = {(a, b): SequenceMatcher(None, texts[a], texts[b], autojunk=False).ratio() for a in texts for b in texts if a < b}
+    assert found == pytest.approx({k: v for k, v in want.items() if v >= 0.5}) and found
