@@ -300,6 +300,47 @@ def test_near_articles_and_collisions_against_all_pairs(spark, sf):
     assert list(roll) == audit.CHECKS and roll["near_duplicates"] == len(found) and roll["name_collisions"] == len(names)
 
 
+def _all_near(rows, least=audit.CONFIG["near_duplicate"]):
+    """All pairs of (article, body) whose whole texts have the ratio, in the order of comparison."""
+    import re
+
+    band = {n: len({w.lower() for w in re.findall(r"\w{4,}", t)}) // audit.CONFIG["band"] for n, t in rows}
+    held = sorted(rows, key=lambda r: (band[r[0]], r[0]))
+    found = {}
+    for i, (x, t) in enumerate(held):
+        for y, u in held[i + 1 :]:
+            if (r := SequenceMatcher(None, t, u).ratio()) >= least:
+                found[min(x, y), max(x, y)] = round(r, 4)
+    return found
+
+
+@pytest.mark.parametrize("block", [7, 20_000])
+def test_near_duplicates_are_all_pairs(spark, monkeypatch, block):
+    """audit_near_duplicates: pairs of few words in common, of sizes far apart, without words, without characters, in any block."""
+    monkeypatch.setattr(audit, "BLOCK", block)
+    monkeypatch.setattr(audit, "LEAST_BLOCK", 5)
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(80)]
+    texts = ["", "", "ab", "ab cd ef", "ab cd eg", "ab cd ef", "é😀 ü"]
+    for size in (60, 150, 199, 200, 260, 900, 3000):
+        for _ in range(4):
+            t = ""
+            while len(t) < size:
+                t += rng.choice(words) + " "
+            texts.append(t[:size])
+            for share in (0.03, 0.08, 0.12):
+                changed = [rng.choice("xyzq ") if rng.random() < share else ch for ch in t[:size]]
+                texts.append("".join(changed[: int(size * (1 - share * rng.random()))]))
+    spaced = "".join(f"w{k:03}x " for k in range(90))
+    texts += [spaced, spaced.replace("x ", " x "), spaced[:-40]]  # bags of 90 words and of 90 others; bands apart
+    rows = [(f"n{rng.randrange(10**6)}i{i}", t) for i, t in enumerate(texts)]
+    found = audit.near_duplicates(spark.createDataFrame(rows, "article string, body string")).collect()
+    want = _all_near(rows)
+    assert len(found) == len(want) and {(r["a"], r["b"]): r["similarity"] for r in found} == pytest.approx(want)
+    c = audit.CONFIG
+    assert set(want) - {tuple(sorted(r)) for r in audit.near_candidates(spark.createDataFrame(rows, "article string, body string"), c).collect()}
+
+
 def test_near_candidates_have_lengths_for_the_ratio(spark):
     """audit_near_duplicates, audit_rollup_all: pairs whose lengths rule the ratio out end where words are counted, before texts are fetched."""
     words = [f"word{k}" for k in range(20)]
