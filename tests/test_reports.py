@@ -341,6 +341,18 @@ def test_near_duplicates_are_all_pairs(spark, monkeypatch, block):
     assert set(want) - {tuple(sorted(r)) for r in audit.near_candidates(spark.createDataFrame(rows, "article string, body string"), c).collect()}
 
 
+def test_near_duplicates_see_whole_texts(spark):
+    """audit_near_duplicates, audit_rollup_all: texts that only begin in different ways."""
+    rng = random.Random(4)
+    rest = " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(6)) + chr(0x4E00 + k) * (k % 20 == 0) for k in range(2500))
+    rows = [("a", "QRSTUVWX " * 95 + rest), ("b", "0123456 " * 105 + rest)]
+    want = _all_near(rows)
+    a = spark.createDataFrame(rows, "article string, content string")
+    found = {(r["a"], r["b"]): r["similarity"] for r in audit.near_duplicates(audit.articles(a)).collect()}
+    assert found == pytest.approx(want) and len(want) == 1
+    assert {r["check"]: r["findings"] for r in audit.rollup(audit.checks(audit.articles(a))).collect()}["near_duplicates"] == 1
+
+
 def test_near_candidates_have_lengths_for_the_ratio(spark):
     """audit_near_duplicates, audit_rollup_all: pairs whose lengths rule the ratio out end where words are counted, before texts are fetched."""
     words = [f"word{k}" for k in range(20)]
