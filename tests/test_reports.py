@@ -353,6 +353,31 @@ def test_near_duplicates_see_whole_texts(spark):
     assert {r["check"]: r["findings"] for r in audit.rollup(audit.checks(audit.articles(a))).collect()}["near_duplicates"] == 1
 
 
+def test_rollup_counts_every_check(spark, tmp_path):
+    """audit_rollup: near duplicates as well, in the query and in its SQL; texts with few characters, without rare ones and with copies."""
+    import duckdb
+
+    from archivelens.queries import catalogue
+
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(2, 8))) for _ in range(50)]
+    texts = [None, "", "a", "éé", "abab" * 90]
+    for size in (5, 40, 120, 500):
+        t = [rng.choice(words) for _ in range(size)]
+        texts += [" ".join(w if rng.random() > share else rng.choice(words) for w in t) for share in (0, 0, 0.04, 0.12, 0.2)]
+    rows = [(i * 11, t, "en", "s", 5) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    run, sql = catalogue()["audit_rollup"]
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    found = {r["check"]: r["findings"] for r in run(spark, str(tmp_path)).collect()}
+    held = audit.articles(fixtures.md_documents(spark, str(tmp_path)).select("article", "content")).select("article", "body").collect()
+    key = lambda n: "".join(c for c in n.lower() if c.isascii() and c.isalnum())
+    want = [p for p in _all_near([tuple(r) for r in held]) if key(p[0]) != key(p[1])]
+    assert list(found) == audit.CHECKS and found == dict(duck.execute(sql).fetchall())
+    assert found["near_duplicates"] == len(want) + found["name_collisions"] and want
+
+
 def test_near_candidates_have_lengths_for_the_ratio(spark):
     """audit_near_duplicates, audit_rollup_all: pairs whose lengths rule the ratio out end where words are counted, before texts are fetched."""
     words = [f"word{k}" for k in range(20)]
