@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from archivelens import config
 from archivelens.functions import frontmatter as FM
+from archivelens.functions import ratios
 from archivelens.operators import audit, canonical, fidelity, markdown, prioritize, reports
 from archivelens.plans import pipeline
 from archivelens.sources import connectors, extract, files, fixtures, providers
@@ -341,6 +342,24 @@ def test_near_duplicates_are_all_pairs(spark, monkeypatch, block):
     assert set(want) - {tuple(sorted(r)) for r in audit.near_candidates(spark.createDataFrame(rows, "article string, body string"), c).collect()}
 
 
+def test_ratios_in_parts(monkeypatch):
+    """audit_near_duplicates: a block's runs are held for so many characters at once, texts longer than that by themselves; ratios end where they can't be reached."""
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    base = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzéü .,;0123456789") for _ in range(900))
+    texts = [base[: rng.randint(1, 900)] for _ in range(12)] + ["".join(c if rng.random() > 0.07 else "#" for c in base) for _ in range(6)] + [""]
+    t = pa.table({"article": [f"a{i:02}" for i in range(len(texts))], "key": [str(i) for i in range(len(texts))], "band": pa.array([0] * len(texts), pa.int64()), "body": texts, "block": pa.array([0] * len(texts), pa.int32())})
+    want = {(f"a{i:02}", f"a{j:02}"): r for i, x in enumerate(texts) for j, y in enumerate(texts) if i < j and (r := SequenceMatcher(None, x, y).ratio()) >= 0.85}
+    for characters in (700, 3_000, 4_000_000):
+        monkeypatch.setattr(ratios, "CHARACTERS", characters)
+        found = ratios.alike(0.85)((pa.scalar(0), pa.scalar(0)), t).to_pylist()
+        assert {(r["a"], r["b"]): r["r"] for r in found} == want and len(found) == len(want) > 5
+    for x, y in zip(texts, texts[3:]):
+        r = SequenceMatcher(None, x, y).ratio()
+        assert ratios.ratio_from(x, y, 0.01) == (r if r >= 0.01 else None) and ratios.ratio_from(x, y, 0.9) == (r if r >= 0.9 else None)
+
+
 def test_near_duplicates_see_whole_texts(spark):
     """audit_near_duplicates, audit_rollup_all: texts that only begin in different ways."""
     rng = random.Random(4)
